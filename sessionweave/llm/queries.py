@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sessionweave.llm import url_filter, warc
+from sessionweave.llm import embed_dedup, line_dedup, simhash, url_filter, warc
 
 #: Fixed values of the URL rules: host, path, verdict.
 URL_RULES = [
@@ -78,9 +79,63 @@ _op6_sql = """
     from w
 """
 
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_components(table(spark, sf_dir, "documents"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+_op5_sql = r"""
+    with lines as (
+      select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+             generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as k
+      from documents
+    ), keyed as (
+      select *, translate(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from lines
+    ), owners as (select key, min(doc_id) as owner from keyed where length(key) >= 10 group by key),
+    judged as (select doc_id, k, line, coalesce(doc_id <> owner, false) as gone from keyed left join owners using (key))
+    select doc_id, count(*)::bigint as n_lines, count(*) filter (gone)::bigint as n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) order by k) filter (not gone), '')) as kept_sha256
+    from judged group by doc_id
+"""
+
+
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+_op10_sql = """
+    with recursive v as (
+      select vec_id, label, embedding::double[] as e from embeddings
+      where label is not null and embedding is not null and len(embedding) > 0
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), links as (
+      select a.vec_id as a, b.vec_id as b from v a join v b
+      on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.98
+    ), reach(a, b) as (select vec_id, vec_id from embeddings union select r.a, l.b from reach r join links l on r.b = l.a),
+    comp as (select a as vec_id, min(b) as component_id from reach group by a),
+    deg as (select a as vec_id, count(*) as n from links group by a)
+    select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+    from comp left join deg using (vec_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op4_simhash": op4_simhash,
+    "op5_line_dedup": op5_line_dedup,
     "op6_warc": op6_warc,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
-ORACLES: dict[str, str] = {"op1_url_filter": _op1_sql(), "op6_warc": _op6_sql}
+ORACLES: dict[str, str] = {
+    "op1_url_filter": _op1_sql(),
+    "op5_line_dedup": _op5_sql,
+    "op6_warc": _op6_sql,
+    "op10_embedding_dedup": _op10_sql,
+}
