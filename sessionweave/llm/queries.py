@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionweave.llm import embed_dedup, line_dedup, simhash, url_filter, warc
+from sessionweave.llm import embed_dedup, line_dedup, packing, simhash, toxicity, url_filter, warc
 
 #: Fixed values of the URL rules: host, path, verdict.
 URL_RULES = [
@@ -125,11 +125,32 @@ _op10_sql = """
     from comp left join deg using (vec_id)
 """
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs.select("doc_id", "text"), machine).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def tokenizer_file() -> str:
+    """Path of the public byte-level vocabulary; imported late, as only this needs it."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op4_simhash": op4_simhash,
     "op5_line_dedup": op5_line_dedup,
     "op6_warc": op6_warc,
+    "op8_toxicity": op8_toxicity,
+    "op9_packing": op9_packing,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
