@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionweave.llm import embed_dedup, line_dedup, packing, simhash, toxicity, url_filter, warc
+from sessionweave.llm import embed_dedup, line_dedup, packing, simhash, substring, toxicity, url_filter, warc
 
 #: Fixed values of the URL rules: host, path, verdict.
 URL_RULES = [
@@ -125,6 +125,11 @@ _op10_sql = """
     from comp left join deg using (vec_id)
 """
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring.dedup_passages(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     machine = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -149,6 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_line_dedup": op5_line_dedup,
     "op6_warc": op6_warc,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_embedding_dedup": op10_embedding_dedup,
