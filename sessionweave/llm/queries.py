@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionweave.llm import embed_dedup, line_dedup, packing, simhash, substring, toxicity, url_filter, warc
+from sessionweave.llm import decontaminate, embed_dedup, line_dedup, packing, pii, simhash, substring, toxicity, url_filter, warc
 
 #: Fixed values of the URL rules: host, path, verdict.
 URL_RULES = [
@@ -80,6 +80,18 @@ _op6_sql = """
 """
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: Key of the query's pseudonyms; a real run takes a secret one.
+PII_KEY = "example-key"
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_components(table(spark, sf_dir, "documents"))
 
@@ -151,6 +163,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_decontamination": op2_decontamination,
+    "op3_pii": op3_pii,
     "op4_simhash": op4_simhash,
     "op5_line_dedup": op5_line_dedup,
     "op6_warc": op6_warc,
