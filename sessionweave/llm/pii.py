@@ -48,6 +48,11 @@ PATTERNS = {
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def keyed(key: str, tag: str, round_: Column, half: Column) -> Column:
     """SHA-256 of key, format, round and half, in hexadecimal."""
     return F.sha2(F.concat_ws("|", F.lit(key), F.lit(tag), round_.cast("string"), half), 256)
@@ -57,8 +62,8 @@ def number(hex_: Column) -> Column:
     return F.conv(F.substring(hex_, 1, 14), 16, 10).cast("long")
 
 
-def permute_pair(key: str, tag: str, a: Column, b: Column, sizes: tuple[int, int]) -> tuple[Column, Column]:
-    """Feistel network on pairs ``a < sizes[0], b < sizes[1]``."""
+def permute_pair(key: str, tag: str, a: Column, b: Column, sizes: tuple[int, int], use) -> Column:
+    """``use(a, b)`` of the Feistel network on pairs ``a < sizes[0], b < sizes[1]``."""
 
     def step(x: Column, r: Column) -> Column:
         left = F.when(r % 2 == 1, (x["a"] + number(keyed(key, tag, r, x["b"].cast("string")))) % sizes[0]).otherwise(x["a"])
@@ -67,11 +72,15 @@ def permute_pair(key: str, tag: str, a: Column, b: Column, sizes: tuple[int, int
 
     start = F.struct(a.cast("long").alias("a"), b.cast("long").alias("b"))
     done = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step)
-    return done["a"], done["b"]
+    return let(done, lambda x: use(x["a"], x["b"]))
 
 
-def shift(text: Column, hex_: Column) -> Column:
+def shift(text: Column, hashed: Column) -> Column:
     """Letters and digits moved on within their kind by the bytes of a hash."""
+    return let(hashed, lambda h: _shift(text, h))
+
+
+def _shift(text: Column, hex_: Column) -> Column:
 
     def one(i: Column) -> Column:
         c = F.substring(text, i, F.lit(1))
@@ -79,8 +88,7 @@ def shift(text: Column, hex_: Column) -> Column:
         turn = lambda first, n: F.char((F.ascii(c) - ord(first) + by) % n + ord(first))
         return F.when(c.between("0", "9"), turn("0", 10)).when(c.between("a", "z"), turn("a", 26)).when(c.between("A", "Z"), turn("A", 26)).otherwise(c)
 
-    whole = F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), one), "")
-    return F.when(F.length(text) > 0, whole).otherwise(text)
+    return F.array_join(F.transform(F.filter(F.sequence(F.lit(0), F.length(text)), lambda i: i > 0), one), "")
 
 
 def permute_text(key: str, tag: str, text: Column) -> Column:
@@ -93,8 +101,7 @@ def permute_text(key: str, tag: str, text: Column) -> Column:
         right = F.when(r % 2 == 0, shift(x["b"], keyed(key, tag, r, x["a"]))).otherwise(x["b"])
         return F.struct(left.alias("a"), right.alias("b"))
 
-    done = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step)
-    return F.concat(done["a"], done["b"])
+    return let(F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step), lambda x: F.concat(x["a"], x["b"]))
 
 
 def digits(text: Column) -> Column:
@@ -104,11 +111,11 @@ def digits(text: Column) -> Column:
 def refill(shape: Column, new: Column) -> Column:
     """``shape`` with its digits replaced, in order, by those of ``new``."""
 
-    def one(i: Column) -> Column:
+    def one(fill: Column, i: Column) -> Column:
         c = F.substring(shape, i, F.lit(1))
-        return F.when(c.between("0", "9"), F.substring(new, F.length(digits(F.substring(shape, F.lit(1), i))), F.lit(1))).otherwise(c)
+        return F.when(c.between("0", "9"), F.substring(fill, F.length(digits(F.substring(shape, F.lit(1), i))), F.lit(1))).otherwise(c)
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(shape)), one), "")
+    return let(new, lambda fill: F.array_join(F.transform(F.sequence(F.lit(1), F.length(shape)), lambda i: one(fill, i)), ""))
 
 
 def padded(n: Column, width: int) -> Column:
@@ -121,59 +128,81 @@ def whole_number(text: Column) -> Column:
 
 def luhn_sum(body: Column, doubled: int) -> Column:
     """Sum of digits of which every second is doubled, from the right, starting with the last if ``doubled`` is 0."""
-    back = F.reverse(body)
 
-    def add(x: Column, i: Column) -> Column:
+    def add(back: Column, x: Column, i: Column) -> Column:
         d = F.substring(back, i, F.lit(1)).try_cast("int")
         twice = F.when(d > 4, d * 2 - 9).otherwise(d * 2)
         return x + F.when((i + doubled) % 2 == 1, twice).otherwise(d)
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(body)), F.lit(0), add)
+    return let(F.reverse(body), lambda back: F.aggregate(F.sequence(F.lit(1), F.length(back)), F.lit(0), lambda x, i: add(back, x, i)))
 
 
 def card(key: str, m: Column) -> Column:
-    d = digits(m)
-    n = F.length(d)
-    body = F.concat(F.substring(d, 1, 1), permute_text(key, "card", F.substring(d, F.lit(2), n - 2)))
-    check = (10 - luhn_sum(body, 0) % 10) % 10
-    return F.when(luhn_sum(d, 1) % 10 == 0, refill(m, F.concat(body, check.cast("string"))))
+    def of(d: Column) -> Column:
+        n = F.length(d)
+        body = F.concat(F.substring(d, 1, 1), permute_text(key, "card", F.substring(d, F.lit(2), n - 2)))
+        new = let(body, lambda x: F.concat(x, ((10 - luhn_sum(x, 0) % 10) % 10).cast("string")))
+        return F.when(luhn_sum(d, 1) % 10 == 0, refill(m, new))
+
+    return let(digits(m), of)
 
 
 def phone(key: str, m: Column) -> Column:
-    d = digits(m)
-    own = F.substring(d, -10, 10)
-    area, rest = whole_number(F.substring(own, 1, 3)) - 200, whole_number(F.substring(own, 4, 7)) - 2_000_000
-    a, b = permute_pair(key, "phone", area, rest, (800, 8_000_000))
-    return refill(m, F.concat(F.substring(d, F.lit(1), F.length(d) - 10), padded(a + 200, 3), padded(b + 2_000_000, 7)))
+    def of(d: Column) -> Column:
+        own = F.substring(d, -10, 10)
+        area, rest = whole_number(F.substring(own, 1, 3)) - 200, whole_number(F.substring(own, 4, 7)) - 2_000_000
+        front = F.substring(d, F.lit(1), F.length(d) - 10)
+        new = permute_pair(
+            key, "phone", area, rest, (800, 8_000_000), lambda a, b: F.concat(front, padded(a + 200, 3), padded(b + 2_000_000, 7))
+        )
+        return refill(m, new)
+
+    return let(digits(m), of)
 
 
 def ssn(key: str, m: Column) -> Column:
     area, group, serial = (whole_number(F.substring(m, at, n)) for at, n in ((1, 3), (5, 2), (8, 4)))
     place = area - F.when(area > 666, 2).otherwise(1)  # 666 is never issued
-    a, b = permute_pair(key, "ssn", place * 99 + group - 1, serial - 1, (898 * 99, 9_999))
-    new = F.floor(a / 99) + 1
-    new = F.when(new >= 666, new + 1).otherwise(new)
+
+    def new(a: Column, b: Column) -> Column:
+        first = F.floor(a / 99) + 1
+        first = first + (first >= 666).cast("int")
+        return F.concat_ws("-", padded(first, 3), padded(a % 99 + 1, 2), padded(b + 1, 4))
+
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
-    return F.when(valid, F.concat_ws("-", padded(new, 3), padded(a % 99 + 1, 2), padded(b + 1, 4)))
+    return F.when(valid, permute_pair(key, "ssn", place * 99 + group - 1, serial - 1, (898 * 99, 9_999), new))
 
 
 def ipv4(key: str, m: Column) -> Column:
-    o = [whole_number(F.get(F.split(m, r"\."), k)) for k in range(4)]
+    o = [whole_number(F.get(F.split(m, r"\."), F.lit(k))) for k in range(4)]
     valid = o[0].between(1, 223) & (o[1] < 256) & (o[2] < 256) & (o[3] < 256) & ~m.rlike(r"(?:^|\.)0\d")
-    a, b = permute_pair(key, "ipv4", (o[0] - 1) * 256 + o[1], o[2] * 256 + o[3], (223 * 256, 65_536))
-    parts = (F.floor(a / 256) + 1, a % 256, F.floor(b / 256), b % 256)
-    return F.when(valid, F.concat_ws(".", *(p.cast("string") for p in parts)))
+
+    def new(a: Column, b: Column) -> Column:
+        parts = (F.floor(a / 256) + 1, a % 256, F.floor(b / 256), b % 256)
+        return F.concat_ws(".", *(p.cast("string") for p in parts))
+
+    return F.when(valid, permute_pair(key, "ipv4", (o[0] - 1) * 256 + o[1], o[2] * 256 + o[3], (223 * 256, 65_536), new))
 
 
 def date(key: str, m: Column) -> Column:
+    start = F.lit("1800-01-01").cast("date")
+
+    def of(form: str):
+        return lambda day: moved(form, day)
+
+    def moved(form: str, day: Column) -> Column:
+        # 400 Gregorian years have 146,097 = 27 x 5,411 days.
+        new = permute_pair(
+            key, "date", F.floor(day / 5_411), day % 5_411, (27, 5_411),
+            lambda a, b: F.date_format(F.date_add(start, (a * 5_411 + b).cast("int")), form),
+        )
+        return F.when(day.between(0, 146_096), new)
+
     out = None
     for mark, form in (("-", "yyyy-MM-dd"), (".", "dd.MM.yyyy"), ("/", "MM/dd/yyyy")):
-        day = F.datediff(F.to_date(F.try_to_timestamp(m, F.lit(form))), F.lit("1800-01-01").cast("date"))
-        # 400 Gregorian years have 146,097 = 27 x 5,411 days.
-        a, b = permute_pair(key, "date", F.floor(day / 5_411), day % 5_411, (27, 5_411))
-        new = F.date_format(F.date_add(F.lit("1800-01-01").cast("date"), (a * 5_411 + b).cast("int")), form)
-        case = F.contains(m, F.lit(mark)) & day.between(0, 146_096)
-        out = F.when(case, new) if out is None else out.when(case, new)
+        day = F.datediff(F.to_date(F.try_to_timestamp(m, F.lit(form))), start)
+        has, new = F.contains(m, F.lit(mark)), let(day, of(form))
+        out = F.when(has, new) if out is None else out.when(has, new)
     return out
 
 
@@ -184,7 +213,7 @@ def email(key: str, m: Column) -> Column:
 
 def secret(key: str, m: Column) -> Column:
     head = F.regexp_extract(m, "^(?:AKIA(?=[0-9A-Z]{16}$)|(?i:[a-z_]+)[ ]?[=:][ ]?[\"']?)", 0)
-    return F.concat(head, permute_text(key, "secret", F.substring(m, F.length(head) + 1, F.length(m))))
+    return let(head, lambda h: F.concat(h, permute_text(key, "secret", F.substring(m, F.length(h) + 1, F.length(m)))))
 
 
 def pseudonym(key: str, m: Column) -> Column:
