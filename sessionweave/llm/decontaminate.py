@@ -147,6 +147,38 @@ class Index:
         return [(i, *x) for i, x in sorted(best.items())]
 
 
+def _passes(benchmark: DataFrame, item: str, item_text: str) -> Iterator[tuple[pa.Array, list[str]]]:
+    """Items in passes of bounded size: names and texts."""
+    items = benchmark.select(F.col(f"`{item}`").alias("item"), F.col(f"`{item_text}`").alias("text")).filter("text is not null")
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    passes = max(1, -(-size // PASS_BYTES))
+    for p in range(passes):
+        some = items if passes == 1 else items.filter(F.expr(f"pmod(xxhash64(item, text), {passes}) = {p}"))
+        table = some.toArrow()
+        names = table["item"].combine_chunks() if table.num_rows else pa.array([], table.schema.field("item").type)
+        yield names, table["text"].to_pylist()
+
+
+def uncontaminated(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
+    threshold: float = SIMILARITY, shingle: int = SHINGLE,
+) -> DataFrame:
+    """The rows of ``docs`` whose text holds no benchmark item; nothing is joined or shuffled."""
+    bound_batches(docs.sparkSession)
+    out = docs
+    for names, texts in _passes(benchmark, item, item_text):
+        shared = docs.sparkSession.sparkContext.broadcast(texts)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = Index(shared.value, threshold, shingle)
+            for b in batches:
+                yield b.select(["own"]).filter(pa.array([not index.matches(t) for t in b["text"].to_pylist()], pa.bool_()))
+
+        own = out.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("own"), F.col(f"`{text}`").alias("text"))
+        out = own.mapInArrow(run, T.StructType([own.schema["own"]])).select("own.*")
+    return out
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
     threshold: float = SIMILARITY, shingle: int = SHINGLE,
@@ -154,15 +186,10 @@ def contaminated(
     """``(id, item, start_word, n_words, similarity)`` of the best window of each item in each document that holds one."""
     spark = docs.sparkSession
     bound_batches(spark)
-    items = benchmark.select(F.col(f"`{item}`").alias("item"), F.col(f"`{item_text}`").alias("text")).filter("text is not null")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    passes = max(1, -(-size // PASS_BYTES))
     given = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     out = None
-    for p in range(passes):
-        some = items if passes == 1 else items.filter(F.expr(f"pmod(xxhash64(item, text), {passes}) = {p}"))
-        table = some.toArrow()
-        shared = spark.sparkContext.broadcast((table["item"].combine_chunks() if table.num_rows else pa.array([], table.schema.field("item").type), table["text"].to_pylist()))
+    for names_texts in _passes(benchmark, item, item_text):
+        shared = spark.sparkContext.broadcast(names_texts)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             names, texts = shared.value
@@ -176,7 +203,7 @@ def contaminated(
                 )
 
         schema = T.StructType(
-            [given.schema["id"], items.schema["item"], T.StructField("start_word", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("similarity", T.DoubleType())]
+            [given.schema["id"], T.StructField("item", benchmark.schema[item].dataType), T.StructField("start_word", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("similarity", T.DoubleType())]
         )
         part = given.mapInArrow(run, schema)
         out = part if out is None else out.unionByName(part)

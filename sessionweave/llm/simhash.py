@@ -122,9 +122,19 @@ def block_masks(radius: int, n: int, bits: int = 64) -> np.ndarray:
     return np.array(out)
 
 
-def sampled_masks(count: int, width: int, bits: int, seed: int = 7) -> np.ndarray:
-    """``count`` masks of ``width`` bits each, for radii too wide for whole blocks."""
-    rng = np.random.default_rng(seed)
+def sampled_masks(agree: float, n: int, bits: int, missed: float = 0.03, seed: int = 7) -> np.ndarray:
+    """Masks of sampled bits, for radii too wide for whole blocks.
+
+    A pair whose bits agree with probability ``agree`` shares no mask value
+    with probability ``missed`` at most; width and number are the cheapest for
+    ``n`` fingerprints.
+    """
+
+    def needed(width: int) -> int:
+        return math.ceil(math.log(missed) / math.log(1 - agree**width))
+
+    width = min(range(10, 25), key=lambda w: needed(w) * n * (4e-6 + n / 2 ** (w + 1) * 6e-8))
+    count, rng = needed(width), np.random.default_rng(seed)
     out = []
     for _ in range(count):
         flags = np.zeros(bits, np.uint8)
@@ -193,10 +203,12 @@ def spanning(n: int, found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) ->
     return np.concatenate(ka), np.concatenate(kb), np.concatenate(kd)
 
 
-def near_edges(distinct: DataFrame, masks: np.ndarray, radius: int, scratch: Scratch, tile: int = TILE) -> DataFrame:
+def near_edges(
+    distinct: DataFrame, masks: np.ndarray, radius: int, scratch: Scratch, tile: int = TILE, pivot_count: int = PIVOTS
+) -> DataFrame:
     """Spanning edges ``(a, b, d)`` of all links that some mask shows, from distinct ``fp``."""
     words = masks.shape[1]
-    pivots = pivot_table(words)
+    pivots = pivot_table(words, pivot_count)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -283,3 +295,51 @@ def near_components(docs: DataFrame, id: str = "doc_id", text: str = "text", k:
     return group_documents(prints, edges, scratch).select(
         F.col("id").alias(id), hex_print(F.col("fp")).alias("fingerprint"), "component_id"
     )
+
+
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8, words: int = 4) -> DataFrame:
+    """``(id, component_id)`` of rows with an id: texts chained by a Jaccard similarity of their shingles at or above the threshold.
+
+    Fingerprints of ``64 * words`` bits find candidates: at the threshold, bits
+    differ with a probability given by the angle of the shingle counts, and the
+    radius adds three deviations.  Candidates of a spanning forest by distance
+    are verified by the similarity of their whole shingle sets (as 32-bit
+    hashes).  A pair right at the threshold is missed with a probability of
+    about three in a hundred by the masks; closer pairs practically never.
+    """
+    scratch = Scratch(docs.sparkSession, "near")
+    bits = 64 * words
+    differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    radius = math.ceil(bits * differ + 3 * math.sqrt(bits * differ * (1 - differ)))
+    given = docs.filter(F.col(f"`{id}`").isNotNull())
+    prints = scratch.save(fingerprints(given, id, text, k, words), "prints")
+    firsts = scratch.save(prints.groupBy("fp").agg(F.min("id").alias("low")), "lowest")
+    masks = sampled_masks(1 - differ, firsts.count(), bits)
+    edges = near_edges(firsts, masks, radius, scratch, pivot_count=4).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    edges = scratch.save(edges, "candidates")
+    nodes = edges.select(F.explode(F.array("a", "b")).alias("f")).distinct()
+    wanted = scratch.save(nodes.join(firsts, F.col("f") == F.col("fp")).select("fp", "low"), "wanted")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [np.unique(shingle_hashes(t, k).astype(np.uint32)).view(np.int32) for t in raw_texts(b["raw"])]
+            yield pa.RecordBatch.from_arrays([b["fp"], pa.array([x.tobytes() for x in found], pa.binary())], ["fp", "s"])
+
+    texts = given.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("binary").alias("raw")).join(wanted, F.col("id") == F.col("low"))
+    shingled = scratch.save(texts.select("fp", "raw").dropDuplicates(["fp"]).mapInArrow(sets, "fp binary, s binary"), "sets")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = []
+            for x, y in zip(b["sa"].to_pylist(), b["sb"].to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.int32), np.frombuffer(y, np.int32)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                union = len(x) + len(y) - both
+                ok.append(both >= similarity * union - 1e-9)
+            keep = pa.array(ok, pa.bool_())
+            yield pa.RecordBatch.from_arrays([b["a"].filter(keep), b["b"].filter(keep)], ["a", "b"])
+
+    side = lambda n: shingled.select(F.col("fp").alias(f"f{n}"), F.col("s").alias(f"s{n}"))
+    pairs = edges.join(side("a"), F.col("a") == F.col("fa")).join(side("b"), F.col("b") == F.col("fb")).select("a", "b", "sa", "sb")
+    true = scratch.save(pairs.mapInArrow(verify, "a binary, b binary"), "edges")
+    return group_documents(prints, true, scratch).select(F.col("id").alias(id), "component_id")
