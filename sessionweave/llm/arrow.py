@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 #: Bytes of one Arrow batch handed to Python; bounds a worker's memory however
 #: long single texts are (a batch always holds one row at least).
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 1 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
