@@ -1,0 +1 @@
+"""Spark-native engine for audited training datasets from assistant sessions."""

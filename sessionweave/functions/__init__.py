@@ -1,0 +1 @@
+"""Scalar expressions: identities, splits and text rules."""

@@ -1,0 +1,50 @@
+"""Content-derived identities and the split rules built on them."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+#: Role aliases of session messages.
+ROLE_ALIASES = {"human": "user", "user": "user", "assistant": "assistant", "ai": "assistant", "model": "assistant", "tool": "tool", "system": "system", "developer": "system"}
+
+
+def digest(text: Column) -> Column:
+    """SHA-256 in hexadecimal; null stays null."""
+    return F.sha2(text.cast("string"), 256)
+
+
+def content_id(**fields: Column) -> Column:
+    """``sha256:`` identity of the canonical JSON of the fields: sorted keys, nulls kept."""
+    ordered = F.struct(*(fields[k].alias(k) for k in sorted(fields)))
+    return F.concat(F.lit("sha256:"), digest(F.to_json(ordered, {"ignoreNullFields": "false"})))
+
+
+def bucket(hex_digest: Column, modulus: int) -> Column:
+    """First eight hex digits of a digest as a number, modulo ``modulus``."""
+    return F.conv(F.substring(hex_digest, 1, 8), 16, 10).cast("long") % modulus
+
+
+def three_way_split(hex_digest: Column) -> Column:
+    """90 / 5 / 5 by bucket of the example's own identity."""
+    b = bucket(hex_digest, 100)
+    return F.when(b < 90, "train").when(b < 95, "validation").otherwise("test")
+
+
+def low_percent_split(parent: Column, percent: int) -> Column:
+    """Validation below ``percent`` of the parent's bucket of 100."""
+    return F.when(bucket(digest(parent), 100) < percent, "validation").otherwise("train")
+
+
+def high_bucket_split(parent: Column, modulus: int, first: int) -> Column:
+    """Validation from bucket ``first`` on."""
+    return F.when(bucket(digest(parent), modulus) >= first, "validation").otherwise("train")
+
+
+def canonical_role(role: Column) -> Column:
+    """Known roles by their aliases; unknown ones become null."""
+    out = None
+    for given, known in ROLE_ALIASES.items():
+        hit = F.lower(F.trim(role)) == given
+        out = F.when(hit, known) if out is None else out.when(hit, known)
+    return out

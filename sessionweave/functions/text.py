@@ -1,0 +1,80 @@
+"""Text rules: redaction, task families, mentions, bounded payloads."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+#: Task families and the substrings that tell them, first hit wins.
+TASK_FAMILIES = {
+    "debugging": ("debug", "bug", "error", "exception", "crash", "failing"),
+    "testing": ("test", "pytest", "vitest", "unittest", "coverage"),
+    "review": ("review", "audit", "security", "blast radius"),
+    "documentation": ("readme", "documentation", "docs", "explain"),
+    "configuration": ("deploy", "config", "environment", "kubernetes", "helm"),
+    "question": ("how do", "what is", "why does", "can you explain"),
+    "code-edit": ("implement", "add ", "change ", "fix ", "refactor", "edit"),
+}
+
+#: Secret and privacy patterns with their replacements, applied in this order.
+REDACTIONS = (
+    (r"(?i)\b(?:sk|pk|rk)-[A-Za-z0-9_-]{12,}", "<SECRET>"),
+    (r"\bgh[pousr]_[A-Za-z0-9_]{20,}\b", "<SECRET>"),
+    (r"\bxox[baprs]-[A-Za-z0-9-]{12,}\b", "<SECRET>"),
+    (r"\bAIza[0-9A-Za-z_-]{20,}\b", "<SECRET>"),
+    (r"(?i)\bBearer\s+[A-Za-z0-9._~+/=-]{16,}", "Bearer <SECRET>"),
+    (r"(?s)-----BEGIN [A-Z ]*PRIVATE KEY-----.*?-----END [A-Z ]*PRIVATE KEY-----", "<PRIVATE_KEY>"),
+    (r"(?i)(\b(?:password|passwd|secret|token|api[_-]?key)\s*[:=]\s*)[^\s,;]+", "$1<SECRET>"),
+    (r"(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b", "<EMAIL>"),
+)
+UNIX_HOME = r"(?<![A-Za-z0-9])/(?:home|Users)/[^/\s'\"]+"
+WINDOWS_HOME = r"(?i)(?<![A-Za-z0-9])[A-Z]:[\\/]Users[\\/][^\\/\s'\"]+"
+
+#: Visible reasoning markers that keep a row from training.
+TRAINER_MARKER = (
+    r"(?i)<\s*/?\s*(?:thinking|analysis|reasoning|deliberation|scratchpad|chain[_ -]?of[_ -]?thought)\b"
+    r"|\b(?:chain of thought|hidden reasoning|internal reasoning|private scratchpad)\b"
+)
+
+TRUNCATION_MARK = "\n<TRUNCATED>\n"
+
+
+def task_family(text: Column) -> Column:
+    """Family of the joined user text; keywords are plain substrings."""
+    low = F.lower(text)
+    out = None
+    for family, keys in TASK_FAMILIES.items():
+        hit = F.lit(False)
+        for k in keys:
+            hit = hit | F.contains(low, F.lit(k))
+        out = F.when(hit, family) if out is None else out.when(hit, family)
+    return out.otherwise("unknown")
+
+
+def redact(text: Column, patterns=REDACTIONS) -> tuple[Column, Column]:
+    """Redacted text and how many replacements were made, pattern after pattern."""
+    count = F.lit(0)
+    for pattern, replacement in patterns:
+        count = count + F.regexp_count(text, F.lit(pattern))
+        text = F.regexp_replace(text, pattern, replacement)
+    return text, count.cast("long")
+
+
+def redact_home_paths(text: Column) -> Column:
+    """Home folders replaced, Unix before Windows."""
+    return F.regexp_replace(F.regexp_replace(text, UNIX_HOME, "<HOME>"), WINDOWS_HOME, "<HOME>")
+
+
+def mentions(text: Column, names: dict[str, str]) -> Column:
+    """Sorted names of which the pattern stands in the text."""
+    found = F.array(*(F.when(text.rlike(p), F.lit(n)) for n, p in names.items()))
+    return F.array_sort(F.filter(found, lambda x: x.isNotNull()))
+
+
+def bounded(text: Column, limit: int, mark: str = TRUNCATION_MARK) -> Column:
+    """At most ``limit`` characters: seven tenths from the head, the mark, the rest from the tail."""
+    room = max(2, limit - len(mark))
+    head = max(1, room * 7 // 10)
+    tail = max(1, room - head)
+    cut = F.concat(F.substring(text, 1, head), F.lit(mark), F.right(text, F.lit(tail)))
+    return F.when(F.length(text) > limit, cut).otherwise(text)
