@@ -94,7 +94,7 @@ def possible_hits(candidates: DataFrame, bits: np.ndarray, part: int, parts: int
             column = b["hashes"]
             flat = np.asarray(column.flatten())
             block, words = block_masks(flat, len(table))
-            ok = ((table[block] & words) == words).all(axis=1) & (flat.view(np.uint64) % np.uint64(parts) == part)
+            ok = ((table[block] & words) == words).all(axis=1) & (flat % parts == part)
             ends = np.cumsum(np.asarray(pa.compute.list_value_length(column)).astype(np.int64))
             starts = np.append(0, ends[:-1])
             row = np.repeat(np.arange(len(column)), ends - starts)[ok]
@@ -172,7 +172,7 @@ def filter_urls(
         joined = hit.join(F.broadcast(exact), ["eh", "ep"], "left")
     else:
         joined = hit.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts))).join(
-            exact.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long")), ["eh", "ep", "salt"], "left"
+            exact.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))), ["eh", "ep", "salt"], "left"
         )
     best = F.max(
         F.when(
