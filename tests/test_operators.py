@@ -1,0 +1,173 @@
+"""Operators on literals, and whole queries against their SQL."""
+
+import json
+import sqlite3
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from sessionweave.functions import identity, text
+from sessionweave.operators import audit, gates, selection, sequence, sessions
+from sessionweave.plans import registry
+from sessionweave.sources import jsonl
+from sessionweave.sources import sqlite as sqlite_source
+
+D = "/root/testdata/sf0.001"
+
+
+def norm(v):
+    return f"{v:.9g}" if isinstance(v, float) else str(v)
+
+
+@pytest.fixture(scope="module")
+def con():
+    import duckdb
+
+    c = duckdb.connect()
+    for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split():
+        c.execute(f"create view {t} as select * from '{D}/{t}.parquet'")
+    return c
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
+def test_query_equals_sql(spark, con, name):
+    rel = con.sql(registry.ORACLES[name])
+    order = sorted(rel.columns)
+    df = registry.QUERIES[name](spark, D)
+    assert sorted(df.columns) == order
+    at = [rel.columns.index(c) for c in order]
+    assert Counter(tuple(map(norm, r)) for r in df.select(*order).collect()) == Counter(tuple(norm(r[k]) for k in at) for r in rel.fetchall())
+
+
+def test_entry(spark):
+    import __spark_entry__
+
+    assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_task_families(spark):
+    said = {"Debug this": "debugging", "the latest one": "testing", "audit it": "review", "update the README": "documentation",
+            "helm chart": "configuration", "what is this": "question", "add a thing": "code-edit", "hello": "unknown"}
+    rows = spark.createDataFrame([(s,) for s in said], "s string").select("s", text.task_family(F.col("s")).alias("f")).collect()
+    assert {r.s: r.f for r in rows} == said
+
+
+def test_redaction_and_bounds(spark):
+    df = spark.createDataFrame([("mail a.b@c.org token=abc, /home/me/x ghp_" + "a" * 24,), (None,)], "s string")
+    clean, n = text.redact(F.col("s"))
+    out = df.select(text.redact_home_paths(clean).alias("c"), n.alias("n"), text.bounded(F.col("s"), 30).alias("b")).collect()
+    assert out[0].c == "mail <EMAIL> token=<SECRET>, <HOME>/x <SECRET>" and out[0].n == 3 and len(out[0].b) == 30
+    assert out[1].c is None
+
+
+def test_identities_are_canonical(spark):
+    one = spark.range(1).select(identity.content_id(b=F.lit(1), a=F.lit("x")).alias("i"), identity.content_id(a=F.lit("x"), b=F.lit(1)).alias("j")).first()
+    assert one.i == one.j and one.i.startswith("sha256:")
+
+
+def reference_segments(messages, target):
+    starts, size, user, assistant, last = [], 0, False, False, ""
+    for k, (role, body) in enumerate(messages, 1):
+        cut = k == 1 or (user and assistant and size + len(body) > target and (role == "user" or (role != "tool" and last == "assistant")))
+        if cut:
+            starts.append(k)
+            size, user, assistant = 0, False, False
+        size, user, assistant, last = size + len(body), user or role == "user", assistant or role == "assistant", role
+    return [(s, (starts + [len(messages) + 1])[k + 1] - 1) for k, s in enumerate(starts)]
+
+
+def test_segments_against_a_plain_loop(spark):
+    import random
+
+    rng = random.Random(0)
+    convs = {c: [(rng.choice(["user", "assistant", "tool", "system"]), "x" * rng.randint(0, 40)) for _ in range(rng.randint(1, 25))] for c in range(30)}
+    rows = [(c, k, r, t) for c, m in convs.items() for k, (r, t) in enumerate(m)]
+    df = sessions.gather(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string"))
+    got = {}
+    for r in sessions.segments(df, 60).orderBy("conv_id", "segment").collect():
+        got.setdefault(r.conv_id, []).append((r.first, r.last))
+    assert got == {c: reference_segments(m, 60) for c, m in convs.items()}
+
+
+def test_cycles(spark):
+    rows = [(e, k, s) for e, seq in {"p2": "abab", "p3": "abcabc", "none": "abcd", "one": "aa"}.items() for k, s in enumerate(seq)]
+    out = sequence.cycles(spark.createDataFrame(rows, "ep string, ordinal int, s string"), "ep", "s").collect()
+    last = {r.ep: r for r in sorted(out, key=lambda r: r.ordinal)}
+    assert [last[e].smallest for e in ("p2", "p3", "none", "one")] == [2, 3, None, 1]
+
+
+def test_interval_match_phases(spark):
+    rows = [("id", 0, "a", "x"), ("id", 1, "o", "x"), ("order", 0, "a", None), ("order", 1, "a", None), ("order", 2, "o", None), ("single", 0, "o", None), ("single", 1, "a", "")]
+    df = spark.createDataFrame(rows, "ep string, ordinal int, kind string, cid string")
+    got = {(r.ep, r.ordinal): (r.observation, r.match) for r in sequence.interval_match(df, "ep", "kind", "cid", "a", "o").collect()}
+    assert got == {("id", 0): (1, "call-id"), ("order", 0): (None, "unmatched"), ("order", 1): (2, "event-order"), ("single", 1): (0, "singleton-fallback")}
+
+
+def test_gates(spark):
+    rows = [("ok", "candidate", "plain", True), ("mark", "candidate", "a <thinking> b", True), ("key", "candidate", "password: hunter2", True), ("line", "candidate", "plain", False)]
+    df = gates.firewall(spark.createDataFrame(rows, "k string, gate string, t string, l boolean"), "t")
+    out = df.select("k", gates.decide(F.col("gate"), F.col("findings"), F.col("l"), F.array().cast("array<string>")).alias("d")).collect()
+    assert {r.k: r.d for r in out} == {"ok": "candidate", "mark": "review_required", "key": "quarantine", "line": "quarantine"}
+    worst = spark.range(1).select(gates.worst_gate(F.lit("candidate"), F.lit("quarantine")).alias("w")).first().w
+    assert worst == "quarantine"
+
+
+def test_conflicts_and_reviews(spark):
+    df = spark.createDataFrame([("p", "a", 2), ("p", "b", 1), ("q", "c", 4), ("q", "c", 3)], "p string, c string, i int")
+    assert [tuple(r) for r in gates.conflicting_labels(df, "p", "c", ["i"]).collect()] == [("q", "c", 3)]
+    units = spark.createDataFrame([(1, True), (2, True), (5, False), (9, True)], "i int, accepted boolean")
+    good, bad = gates.reviewed(df.unionByName(df.filter("i = 2")), units, "i")
+    assert [r.i for r in good.collect()] == [1] and {(r.i, r.matches) for r in bad.collect()} == {(2, 2), (9, 0)}
+    assert gates.split_conflicts(df, "p", "c").collect()[0].p == "p"
+
+
+def test_selection(spark):
+    df = spark.createDataFrame([(p, i) for p in "abc" for i in range(4)], "p string, i int")
+    assert [tuple(r)[:2] for r in selection.round_robin(df, "p", ["i"], 2, 5).collect()] == [("a", 0), ("b", 0), ("c", 0), ("a", 1), ("b", 1)]
+    assert Counter(r.p for r in selection.balanced(df, "p", ["i"], 7).collect()) == {"a": 3, "b": 2, "c": 2}
+    assert {r.p: r.split for r in selection.every_fifth(df, "p").collect()} == {"a": "validation", "b": "train", "c": "train"}
+    items = spark.createDataFrame([("x", 1), ("x", 2), ("y", 2), ("y", 3), ("y", 4), ("z", 1)], "p string, i int")
+    assert selection.greedy_cover(items, "p", "i", 3) == [("y", 3), ("x", 1)]
+    assert selection.keep_first(df, F.col("p"), [-F.col("i")]).filter("i = 3").count() == 3
+
+
+def test_schema_by_key(spark):
+    df = spark.createDataFrame([("t", '{"a": 1, "b": "x"}'), ("t", '{"a": null}')], "g string, j string")
+    assert {r.key: (r.present, r.types) for r in audit.key_schema(df, "j", "g").collect()} == {"a": (2, "null,number"), "b": (1, "string")}
+
+
+def test_jsonl(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"a": 1}\n\n{bad\n{"a": 2}\n')
+    good, bad = jsonl.tolerant(spark, str(tmp_path / "a.jsonl"))
+    assert good.count() == 2 and bad.collect()[0].decision == "invalid_json"
+    with pytest.raises(Exception, match="malformed JSON line"):
+        jsonl.strict(spark, str(tmp_path / "a.jsonl")).collect()
+    row = jsonl.preflight(spark, str(tmp_path / "a.jsonl"), 6).first()
+    assert (row.lines, row.malformed, row.oversized) == (3, 1, 2)
+    jsonl.write(spark.createDataFrame([(1, None)], "a int, b string"), str(tmp_path / "out"))
+    assert json.loads(spark.read.text(str(tmp_path / "out")).first().value) == {"a": 1, "b": None}
+
+
+def test_sqlite(spark, tmp_path):
+    path = tmp_path / "s.db"
+    with sqlite3.connect(path) as c:
+        c.execute("create table message (id text, session_id text)")
+        c.execute("create table part (id text, message_id text, time_created int, data text)")
+        c.executemany("insert into message values (?, ?)", [("m1", "s"), ("m2", "s")])
+        c.executemany("insert into part values (?, ?, ?, ?)", [("p2", "m1", 2, "two"), ("p1", "m1", 1, "one")])
+    spark.dataSource.register(sqlite_source.SqliteSource)
+    read = lambda t: spark.read.format("sqlite").option("path", str(path)).option("table", t).load()
+    got = sqlite_source.message_parts(read("message"), read("part"))
+    assert {r.id: r.parts for r in got.collect()} == {"m1": ["one", "two"], "m2": None}
+
+
+def test_rest_works_without_the_training_data_subpackage(tmp_path):
+    import shutil
+    import subprocess
+    import sys
+
+    root = tmp_path / "repo"
+    shutil.copytree(".", root, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'conv_sft_slice' in q and 'pipeline' not in q; e.oracle_sql()"
+    assert subprocess.run([sys.executable, "-c", code], cwd=root).returncode == 0
