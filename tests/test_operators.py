@@ -3,6 +3,7 @@
 import json
 import sqlite3
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -168,6 +169,6 @@ def test_rest_works_without_the_training_data_subpackage(tmp_path):
     import sys
 
     root = tmp_path / "repo"
-    shutil.copytree(".", root, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
+    shutil.copytree(Path(__file__).parents[1], root, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
     code = "import __spark_entry__ as e; q = e.queries(); assert 'conv_sft_slice' in q and 'pipeline' not in q; e.oracle_sql()"
     assert subprocess.run([sys.executable, "-c", code], cwd=root).returncode == 0
