@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionweave.functions import identity, text
-from sessionweave.operators import audit, selection, sequence, sessions
+from sessionweave.operators import audit, gates, selection, sequence, sessions
 from sessionweave.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -443,6 +443,59 @@ def seeded_sample(spark, sf_dir):
     return selection.within_budget(docs, ["h", "doc_id"], F.greatest("n_chars", F.lit(1)), 200_000).select("doc_id", "running")
 
 
+def _firewall_sql() -> str:
+    secret = " or ".join(f"regexp_matches(text, '{p}')" for p, _ in text.REDACTIONS[:7])
+    # Without lookbehind, the character before a path is matched as well.
+    edge = "(^|[^A-Za-z0-9])"
+    unix, windows = (p.replace("(?<![A-Za-z0-9])", edge).replace("'", "''") for p in (text.UNIX_HOME, text.WINDOWS_HOME))
+    private = f"regexp_matches(text, '{text.REDACTIONS[7][0]}') or regexp_matches(text, '{unix}') or regexp_matches(text, '{windows}')"
+    return f"""select doc_id, trim(concat(case when regexp_matches(text, '{text.TRAINER_MARKER}') then 'marker,' else '' end,
+      case when {private} then 'private_value,' else '' end, case when {secret} then 'secret_value' else '' end), ',') as findings from documents"""
+
+
+@query(_firewall_sql())
+def doc_firewall(spark, sf_dir):
+    return gates.firewall(table(spark, sf_dir, "documents"), "text").select("doc_id", F.array_join("findings", ",").alias("findings"))
+
+
+@query(f"""with f as ({_firewall_sql()}), g as (select doc_id, findings, source, case when quality = 0 then 'review_required' when quality = 1 then 'candidate' else 'unassessed' end as gate
+      from f join documents using (doc_id) left join labels using (doc_id))
+    select doc_id, case when contains(findings, 'secret_value') or contains(findings, 'private_value') or source = 'src3' then 'quarantine'
+      when contains(findings, 'marker') and gate = 'candidate' then 'review_required' else gate end as partition_ from g""")
+def doc_gate_lattice(spark, sf_dir):
+    docs = gates.firewall(table(spark, sf_dir, "documents"), "text").select("doc_id", "source", "findings")
+    rows = docs.join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    gate = F.when(F.col("quality") == 0, "review_required").when(F.col("quality") == 1, "candidate").otherwise("unassessed")
+    lineage = F.coalesce(F.col("source") != "src3", F.lit(False))
+    return rows.select("doc_id", gates.decide(gate, F.col("findings"), lineage, F.array().cast("array<string>")).alias("partition_"))
+
+
+@query("""with g as (select o_custkey as p, count(distinct o_orderstatus) as n, min(o_orderkey) as k from orders group by 1)
+    select o_custkey, o_orderstatus, o_orderkey from orders join g on p = o_custkey and k = o_orderkey where n = 1""")
+def pair_conflicting_labels(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderkey")
+    return gates.conflicting_labels(rows, "o_custkey", "o_orderstatus", ["o_orderkey"])
+
+
+@query("select l_partkey from lineitem group by 1 having count(distinct l_returnflag) > 1")
+def pair_split_conflicts(spark, sf_dir):
+    return gates.split_conflicts(table(spark, sf_dir, "lineitem"), "l_partkey", "l_returnflag")
+
+
+@query("""with r as (select conv_id, turn, sum(length(text)) over (partition by conv_id order by turn desc rows unbounded preceding) as newest from conversations)
+    select conv_id, turn, newest::bigint as newest from r where newest <= 600""")
+def conv_retained_suffix(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("ordinal"), F.length("text").alias("tokens"))
+    return gates.retained_suffix(turns, "conv_id", "tokens", 600).select("conv_id", F.col("ordinal").alias("turn"), "newest")
+
+
+@query("""with a as (select doc_id, quality = 1 as accepted from labels), c as (select doc_id, count(*) as n from documents group by 1)
+    select doc_id, coalesce(n, 0) as matches from a left join c using (doc_id) where accepted and coalesce(n, 0) <> 1""")
+def doc_review_mismatches(spark, sf_dir):
+    units = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 1).alias("accepted"))
+    return gates.reviewed(table(spark, sf_dir, "documents").select("doc_id"), units, "doc_id")[1]
+
+
 @query("select event_type, count(*) as n from events group by event_type")
 def stream_checkpoint_ingest(spark, sf_dir):
     return ingest.count_by(spark, f"{sf_dir}/events.parquet", "event_type")
