@@ -42,6 +42,8 @@ from sessionweave.llm.simhash import fingerprint
 from sessionweave.llm.substring import rolling
 
 WORD = re.compile(r"\w+")
+#: Characters beyond ASCII that are not of a word.
+OTHER = re.compile(r"[^\w\x00-\x7f]")
 SHINGLE, SIMILARITY = 5, 0.8
 RADIUS, BLOCKS = 20, 7
 PASS_BYTES = 8 << 20
@@ -49,9 +51,17 @@ PASS_BYTES = 8 << 20
 SIEVE = 20
 
 
+#: ASCII bytes that are not of a word become spaces.
+GAPS = bytes(b if b >= 128 or chr(b).isalnum() or b == 95 else 32 for b in range(256))
+
+
 def words(text: str | None) -> np.ndarray:
     """Hash of each word."""
-    found = WORD.findall((text or "").lower())
+    low = (text or "").lower()
+    if not low.isascii() and OTHER.search(low):
+        found = [w.encode() for w in WORD.findall(low)]
+    else:  # the same words, cut at ASCII bytes
+        found = low.encode().translate(GAPS).split()
     return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
 
 
@@ -126,7 +136,8 @@ class Index:
                 s = rolling(h, k)
                 member = self.sieve[s & np.uint64((1 << SIEVE) - 1)]
                 at = np.flatnonzero(member)
-                member[at] = np.isin(s[at], self.known)
+                place = np.minimum(np.searchsorted(self.known, s[at]), len(self.known) - 1)
+                member[at] = self.known[place] == s[at]
                 sums[k] = s, np.append(0, np.cumsum(member))
             s, total = sums[k]
             if not total[-1]:
