@@ -54,8 +54,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id: str,
         encoder = Encoder(shared.value)
         for b in batches:
             rows, out = [], ([], [], [], [])
-            for k, t in enumerate(b["text"].to_pylist()):
-                ids = memoryview(encoder.encode(t or "") + end)
+            for k, data in enumerate(encoder.encode_batch([t or "" for t in b["text"].to_pylist()])):
+                ids = memoryview(data + end)
                 n = len(ids) // 4
                 start, piece = 0, 0
                 while start < n:

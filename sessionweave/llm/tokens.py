@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import json
-import re
 
 import numpy as np
 
-#: White space next to a space: there, words cannot be encoded apart.
-JOINED = re.compile(r"\s \s|\s $|  ")
+#: White space after a space: there, words are not encoded apart.
+AFTER_SPACE = [" " + c for c in map(chr, range(0x3001)) if c.isspace()]
 #: Distinct words kept by a worker, and the longest that is kept.
-WORDS, LONGEST = 300_000, 64
+WORDS, LONGEST = 700_000, 64
 
 
 def byte_symbols() -> dict[str, int]:
@@ -25,7 +24,8 @@ class Encoder:
 
     Words are split at single spaces, before which the vocabulary's pattern
     always cuts, and their ids are kept; so most of a corpus costs a lookup a
-    word.  Texts with other white space around a space are encoded whole.
+    word.  Texts with white space after a space, or very long words, are
+    encoded whole.
     Merges are applied by tiktoken, with ranks taken from the same file, where
     the file's merges are in the order of their ids; texts that hold the string
     of an added token, and files of other kinds, go through tokenizers itself.
@@ -38,7 +38,11 @@ class Encoder:
         told = json.loads(file)
         self.added = [t["content"] for t in told.get("added_tokens", [])]
         self.fast = self._ranks(told)
-        self.later: dict[str, bytes] = _Kept(lambda w: self._ids(" " + w))
+        self.kept: dict[str, bytes] = {}
+        if self.fast is not None:
+            self.sizes = np.zeros(self.fast.max_token_value + 1, np.int64)
+            for token in self.fast.token_byte_values():
+                self.sizes[self.fast.encode_single_token(token)] = len(token)
 
     @staticmethod
     def _ranks(told: dict):
@@ -67,24 +71,34 @@ class Encoder:
             ids = self.fast.encode_ordinary(text)
         return np.array(ids, "<u4").tobytes()
 
-    def encode(self, text: str) -> bytes:
-        if self.fast is None or JOINED.search(text) or any(t in text for t in self.added):
-            return self._ids(text)
-        first, *rest = text.split(" ")
-        return b"".join([self._ids(first), *map(self.later.__getitem__, rest)])
-
-
-class _Kept(dict):
-    """Values by key, made when first asked for; emptied when full."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, key: str) -> bytes:
-        value = self.make(key)
-        if len(key) <= LONGEST:
-            if len(self) >= WORDS:
-                self.clear()
-            self[key] = value
-        return value
+    def _learn(self, words: set[str]) -> None:
+        """Ids of new words, encoded as one text and cut apart where the words end."""
+        plain = [w for w in words if w == w.strip() and w]
+        data = [(" " + w).encode() for w in plain]
+        ids = np.array(self.fast.encode_ordinary(b"".join(data).decode()), "<u4")
+        ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(d) for d in data])) + 1
+        flat, starts = ids.tobytes(), np.append(0, ends[:-1])
+        self.kept.update(zip(plain, (flat[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)), strict=True))
+        for w in words.difference(plain):
+            self.kept[w] = self._ids(" " + w)
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; words that are new are encoded once for the whole batch."""
+        cut: list[list[str] | None] = []
+        for text in texts:
+            apart = self.fast is not None and not any(c in text for c in AFTER_SPACE) and not any(t in text for t in self.added)
+            parts = text.split(" ") if apart else None
+            # An empty part at an end is a space there; long parts are not worth keeping.
+            whole = parts is None or not parts[0] or not parts[-1] or max(map(len, parts)) > LONGEST
+            cut.append(None if whole else parts)
+        new = set().union(*(parts[1:] for parts in cut if parts)).difference(self.kept)
+        if new:
+            if len(self.kept) + len(new) > WORDS:
+                self.kept.clear()
+                new = set().union(*(parts[1:] for parts in cut if parts))
+            self._learn(new)
+        get = self.kept.__getitem__
+        return [
+            self._ids(text) if parts is None else b"".join([self._ids(parts[0]), *map(get, parts[1:])])
+            for text, parts in zip(texts, cut, strict=True)
+        ]
