@@ -122,27 +122,6 @@ def block_masks(radius: int, n: int, bits: int = 64) -> np.ndarray:
     return np.array(out)
 
 
-def sampled_masks(agree: float, n: int, bits: int, missed: float = 0.03, seed: int = 7) -> np.ndarray:
-    """Masks of sampled bits, for radii too wide for whole blocks.
-
-    A pair whose bits agree with probability ``agree`` shares no mask value
-    with probability ``missed`` at most; width and number are the cheapest for
-    ``n`` fingerprints.
-    """
-
-    def needed(width: int) -> int:
-        return math.ceil(math.log(missed) / math.log(1 - agree**width))
-
-    width = min(range(10, 25), key=lambda w: needed(w) * n * (4e-6 + n / 2 ** (w + 1) * 6e-8))
-    count, rng = needed(width), np.random.default_rng(seed)
-    out = []
-    for _ in range(count):
-        flags = np.zeros(bits, np.uint8)
-        flags[rng.choice(bits, width, replace=False)] = 1
-        out.append(np.packbits(flags, bitorder="little").view(np.uint64))
-    return np.array(out)
-
-
 def pivot_table(words: int, pivots: int = PIVOTS, seed: int = 11) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 2**64, (pivots, words), dtype=np.uint64)
 
@@ -297,49 +276,160 @@ def near_components(docs: DataFrame, id: str = "doc_id", text: str = "text", k:
     )
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8, words: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8) -> DataFrame:
     """``(id, component_id)`` of rows with an id: texts chained by a Jaccard similarity of their shingles at or above the threshold.
 
-    Fingerprints of ``64 * words`` bits find candidates: at the threshold, bits
-    differ with a probability given by the angle of the shingle counts, and the
-    radius adds three deviations.  Candidates of a spanning forest by distance
-    are verified by the similarity of their whole shingle sets (as 32-bit
-    hashes).  A pair right at the threshold is missed with a probability of
-    about three in a hundred by the masks; closer pairs practically never.
+    Exact, up to equal 64-bit hashes of different shingles: texts are equal if
+    their whole shingle sets are (by a hash of 128 bits), and of two different
+    sets at the threshold the rarest shingles, down to the overlap that the
+    threshold demands, have one in common.  What such shingles connect is
+    compared pair by pair, tile by tile, and only true links make groups.
     """
     scratch = Scratch(docs.sparkSession, "near")
-    bits = 64 * words
-    differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    radius = math.ceil(bits * differ + 3 * math.sqrt(bits * differ * (1 - differ)))
-    given = docs.filter(F.col(f"`{id}`").isNotNull())
-    prints = scratch.save(fingerprints(given, id, text, k, words), "prints")
-    firsts = scratch.save(prints.groupBy("fp").agg(F.min("id").alias("low")), "lowest")
-    masks = sampled_masks(1 - differ, firsts.count(), bits)
-    edges = near_edges(firsts, masks, radius, scratch, pivot_count=4).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    edges = scratch.save(edges, "candidates")
-    nodes = edges.select(F.explode(F.array("a", "b")).alias("f")).distinct()
-    wanted = scratch.save(nodes.join(firsts, F.col("f") == F.col("fp")).select("fp", "low"), "wanted")
+    bound_batches(docs.sparkSession)
+    given = docs.filter(F.col(f"`{id}`").isNotNull()).select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("binary").alias("raw"))
+
+    def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [np.unique(shingle_hashes(t, k)) for t in raw_texts(b["raw"])]
+            keys = [xxhash.xxh3_128_digest(x.tobytes()) for x in found]
+            columns = [b["id"], pa.array(keys, pa.binary()), pa.array([_short(x) for x in keys], pa.int64()), pa.array([len(x) for x in found], pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "fp", "short", "n"])
+
+    schema = T.StructType([given.schema["id"], *T.StructType.fromDDL("fp binary, short bigint, n int")])
+    prints = scratch.save(given.mapInArrow(sized, schema), "prints")
+    near = scratch.save(rare_shingles(given, prints, k, similarity), "rare")
+    # Texts and shingles as nodes: one chance equality of both would only add comparisons.
+    stars = scratch.save(components(near.select(F.col("g").alias("a"), F.col("h").alias("b")), scratch, "candidates"), "candidates")
+    placed = near.select("g").distinct().join(stars, F.col("g") == F.col("node"), "left").select("g", F.coalesce("root", "g").alias("c"))
+    lowest = prints.groupBy("fp", "short").agg(F.min("id").alias("low"))
+    wanted = scratch.save(placed.join(lowest, F.col("g") == F.col("short")).select("fp", "low", "c"), "wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [np.unique(shingle_hashes(t, k).astype(np.uint32)).view(np.int32) for t in raw_texts(b["raw"])]
-            yield pa.RecordBatch.from_arrays([b["fp"], pa.array([x.tobytes() for x in found], pa.binary())], ["fp", "s"])
+            found = [np.unique(shingle_hashes(t, k)).tobytes() for t in raw_texts(b["raw"])]
+            keys = pa.array([xxhash.xxh3_128_digest(x) for x in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([keys, pa.array(found, pa.binary())], ["f", "s"])
+
+    texts = given.join(wanted.select("low").distinct(), F.col("id") == F.col("low")).select("raw")
+    shingled = texts.mapInArrow(sets, "f binary, s binary").dropDuplicates(["f"])
+    shingled = scratch.save(shingled.join(wanted, F.col("f") == F.col("fp")).select("c", "fp", "s"), "sets")
+    edges = scratch.save(similar_edges(shingled, similarity, scratch), "edges")
+    return group_documents(prints.select("id", "fp"), edges, scratch).select(F.col("id").alias(id), "component_id")
 
-    texts = given.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("binary").alias("raw")).join(wanted, F.col("id") == F.col("low"))
-    shingled = scratch.save(texts.select("fp", "raw").dropDuplicates(["fp"]).mapInArrow(sets, "fp binary, s binary"), "sets")
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _short(key: bytes) -> int:
+    """The first 64 bits of a set's hash."""
+    return int.from_bytes(key[:8], "little", signed=True)
+
+
+def rare_shingles(given: DataFrame, prints: DataFrame, k: int, similarity: float) -> DataFrame:
+    """``(g, h)``: the shared ones of each set's rarest shingles, of which two sets at the threshold have one in common.
+
+    Sets at the threshold share ``similarity * n`` shingles of either at least.
+    In one order of all shingles, by the number of sets that hold them and by
+    hash, the first ``n - ceil(similarity * n) + 1`` of each therefore meet.
+    Shingles of one set alone come first and meet nothing.
+    """
+    total = prints.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
+    buckets = max(64, total >> 20)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ok = []
-            for x, y in zip(b["sa"].to_pylist(), b["sb"].to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.int32), np.frombuffer(y, np.int32)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                union = len(x) + len(y) - both
-                ok.append(both >= similarity * union - 1e-9)
-            keep = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([b["a"].filter(keep), b["b"].filter(keep)], ["a", "b"])
-
-    side = lambda n: shingled.select(F.col("fp").alias(f"f{n}"), F.col("s").alias(f"s{n}"))
-    pairs = edges.join(side("a"), F.col("a") == F.col("fa")).join(side("b"), F.col("b") == F.col("fb")).select("a", "b", "sa", "sb")
-    true = scratch.save(pairs.mapInArrow(verify, "a binary, b binary"), "edges")
-    return group_documents(prints, true, scratch).select(F.col("id").alias(id), "component_id")
+            for at in range(0, b.num_rows, 4096):
+                found = [np.unique(shingle_hashes(t, k)) for t in raw_texts(b.slice(at, 4096)["raw"])]
+                if not sum(map(len, found)):
+                    continue
+                g = np.array([_short(xxhash.xxh3_128_digest(x.tobytes())) for x in found], np.int64)
+                n = np.array([len(x) for x in found], np.int32)
+                h, own = np.concatenate(found), np.repeat(np.arange(len(n), dtype=np.uint16), n)
+                part = (h % np.uint64(buckets)).astype(np.int32)
+                order = np.argsort(part, kind="stable")
+                h, own, part = h[order], own[order], part[order]
+                starts = runs(part)
+                rows = []
+                for s, e in itertools.pairwise(starts):
+                    who, which = np.unique(own[s:e], return_inverse=True)
+                    rows.append((part[s], h[s:e].tobytes(), which.astype(np.uint16).tobytes(), g[who].tobytes(), n[who].tobytes()))
+                kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+                columns = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "h", "which", "g", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_runs(batches, ["part"]):
+            rows = [t[x].to_pylist() for x in ("h", "which", "g", "n")]
+            for s, e in itertools.pairwise(runs(t["part"].to_numpy())):
+                h, g, n = [], [], []
+                for x, which, of, size in zip(*(r[s:e] for r in rows), strict=True):
+                    which = np.frombuffer(which, np.uint16)
+                    h.append(np.frombuffer(x, np.int64)), g.append(np.frombuffer(of, np.int64)[which]), n.append(np.frombuffer(size, np.int32)[which])
+                h, g, n = np.concatenate(h), np.concatenate(g), np.concatenate(n)
+                order = np.argsort(h, kind="stable")
+                size = np.diff(runs(h[order]))
+                order = order[np.repeat(size > 1, size)]
+                order = order[np.lexsort((g[order], h[order]))]
+                h, g, n = h[order], g[order], n[order]
+                first = runs(h, g)[:-1]  # equal sets count once
+                h, g, n = h[first], g[first], n[first]
+                size = np.diff(runs(h))
+                held = np.repeat(size, size)
+                some = held > 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(g[some]), pa.array(held[some].astype(np.int64)), pa.array(h[some]), pa.array(n[some])], ["g", "held", "h", "n"]
+                )
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_runs(batches, ["g"]):
+            g, n = t["g"].to_numpy(), t["n"].to_numpy().astype(np.int64)
+            starts = runs(g)
+            shared = np.diff(starts)
+            size = n[starts[:-1]]
+            prefix = size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1
+            place = np.arange(len(g)) - np.repeat(starts[:-1], shared)
+            keep = place < np.repeat(prefix - (size - shared), shared)
+            yield pa.RecordBatch.from_arrays([pa.array(g[keep]), pa.array(t["h"].to_numpy()[keep])], ["g", "h"])
+
+    dealt = given.select("raw").mapInArrow(deal, "part int, h binary, which binary, g binary, n binary").repartition("part").sortWithinPartitions("part")
+    counted = dealt.mapInArrow(count, "g bigint, held bigint, h bigint, n int")
+    return counted.repartition("g").sortWithinPartitions("g", "held", "h").mapInArrow(choose, "g bigint, h bigint")
+
+
+def similar_edges(sets: DataFrame, similarity: float, scratch: Scratch, tile: int = TILE, tile_bytes: int = 1 << 24) -> DataFrame:
+    """Spanning edges ``(a, b)`` of all pairs at the threshold among sets ``(c, fp, s)`` with the same ``c``."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_runs(batches, ["c", "i", "j"]):
+            raw, found = t["fp"].to_pylist(), [np.frombuffer(x, np.uint64) for x in t["s"].to_pylist()]
+            a, b = [], []
+            for s, e in itertools.pairwise(runs(*(t[x].to_numpy() for x in ("c", "i", "j")))):
+                for x, y in similar_pairs(found[s:e], similarity):
+                    a.append(raw[s + x]), b.append(raw[s + y])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    cuts = F.greatest(F.ceil(F.count("*") / tile), F.ceil(F.sum(F.length("s")) / tile_bytes)).cast("int").alias("cuts")
+    sizes = scratch.save(sets.groupBy("c").agg(F.count("*").alias("members"), cuts).filter("members > 1"), "sizes")
+    joined = sets.join(sizes.withColumnRenamed("c", "of"), F.col("c") == F.col("of"))
+    tiled = joined.withColumn("own", F.expr("cast(pmod(xxhash64(fp), cuts) as int)")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    tiled = tiled.select("c", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp", "s")
+    return tiled.repartition("c", "i", "j").sortWithinPartitions("c", "i", "j").mapInArrow(compare, "a binary, b binary")
+
+
+def similar_pairs(sets: list[np.ndarray], similarity: float) -> Iterator[tuple[int, int]]:
+    """Spanning pairs of all at the threshold: each set's overlaps with all others are counted by a table of who holds a shingle."""
+    n = np.array([len(x) for x in sets])
+    shingle = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    order = np.argsort(shingle, kind="stable")
+    holder, starts = np.repeat(np.arange(len(n)), n)[order], runs(shingle[order])
+    own, label = np.append(0, np.cumsum(n)), np.arange(len(n))
+    for x in range(len(n) - 1):
+        if (label[x + 1 :] == label[x]).all():
+            continue
+        mine = shingle[own[x] : own[x + 1]]
+        low, size = starts[mine], starts[mine + 1] - starts[mine]
+        at = np.arange(size.sum()) + np.repeat(low - np.append(0, np.cumsum(size)[:-1]), size)
+        both = np.bincount(holder[at], minlength=len(n))
+        linked = both >= similarity * (n[x] + n - both) - 1e-9
+        for y in np.flatnonzero(linked & (label != label[x])):
+            if label[y] != label[x]:
+                label[label == label[y]] = label[x]
+                yield x, int(y)
