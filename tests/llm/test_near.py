@@ -32,3 +32,9 @@ def test_groups_of_edited_copies_do_not_fall_apart(spark):
                 w[at] = f"edit{rng.randrange(10**6)}"
             rows.append((len(rows), " ".join(w)))
     assert found(spark, rows) == all_pairs(rows)
+
+
+def test_texts_that_one_repeated_word_dominates_are_compared(spark):
+    rng = random.Random(6)
+    rows = [(i, "spam " * 50 + " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))) for i in range(10)]
+    assert found(spark, rows) == all_pairs(rows) == {i: i for i, _ in rows}
