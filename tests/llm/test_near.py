@@ -38,3 +38,12 @@ def test_texts_that_one_repeated_word_dominates_are_compared(spark):
     rng = random.Random(6)
     rows = [(i, "spam " * 50 + " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))) for i in range(10)]
     assert found(spark, rows) == all_pairs(rows) == {i: i for i, _ in rows}
+
+
+def test_repeats_do_not_part_equal_sets(spark):
+    rng, rows = random.Random(7), []
+    for i in range(10):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        phrase = [f"p{rng.randrange(10**6)}" for _ in range(8)]
+        rows += [(2 * i, " ".join(w + phrase * 2)), (2 * i + 1, " ".join(w + phrase * 30))]
+    assert found(spark, rows) == all_pairs(rows) == {i: i - i % 2 for i, _ in rows}
