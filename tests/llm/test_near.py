@@ -47,3 +47,14 @@ def test_repeats_do_not_part_equal_sets(spark):
         phrase = [f"p{rng.randrange(10**6)}" for _ in range(8)]
         rows += [(2 * i, " ".join(w + phrase * 2)), (2 * i + 1, " ".join(w + phrase * 30))]
     assert found(spark, rows) == all_pairs(rows) == {i: i - i % 2 for i, _ in rows}
+
+
+def test_no_pair_at_the_threshold_is_missed(spark):
+    rng, rows = random.Random(8), []
+    for i in range(300):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        changed = list(w)
+        for at in range(20, 20 + 6 * 40, 40):  # 30 of 296 shingles changed: 266 of 326 are common
+            changed[at] = f"edit{rng.randrange(10**6)}"
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(changed))]
+    assert found(spark, rows) == {i: i - i % 2 for i, _ in rows}
