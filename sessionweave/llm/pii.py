@@ -8,10 +8,10 @@ key, in whatever document, and no two values of a format share one.
 kind        valid if                                      pseudonym
 ==========  ============================================  ==========================================
 card        13 to 19 digits with a right Luhn digit       first digit kept, Luhn digit right again
-phone       North American area and exchange (2 to 9)     area, exchange and line of valid ranges
+phone       ten digits as North American numbers are      any ten digits
+            written
 SSN         area, group and serial that are issued        area, group and serial that can be issued
-IPv4        four octets, the first 1 to 223, no zeros     an address of the same range
-            in front
+IPv4        four octets of 0 to 255, no zeros in front    any four octets
 date        a day of 1800 to 2199 as ``yyyy-mm-dd``,      another day of these 400 years
             ``dd.mm.yyyy`` or ``mm/dd/yyyy``
 email       local part, domain and top-level domain       letters for letters, digits for digits
@@ -41,7 +41,7 @@ PATTERNS = {
     "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?<![A-Za-z])(?i:password|passwd|token|secret|api_key)(?-i)[ ]?[=:][ ]?[\"']?[A-Za-z0-9_\-+/]{8,}",
     "date": r"(?<![\d.\-/])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\-/]?\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\-]?\d)",
-    "phone": r"(?<![\d+\-])(?:\+?1[ .\-]?)?(?:\([2-9]\d{2}\)[ ]?|[2-9]\d{2}[ .\-])[2-9]\d{2}[ .\-]\d{4}(?![\-]?\d)|(?<![\d+])\+1[2-9]\d{2}[2-9]\d{6}(?!\d)",
+    "phone": r"(?<![\d+\-])(?:\+?1[ .\-]?)?(?:\(\d{3}\)[ ]?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?![\-]?\d)|(?<![\d+])\+1\d{10}(?!\d)",
     "ipv4": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
     "card": r"(?<![\d\-])\d(?:[ \-]?\d){12,18}(?![\-]?\d)",
 }
@@ -150,11 +150,9 @@ def card(key: str, m: Column) -> Column:
 def phone(key: str, m: Column) -> Column:
     def of(d: Column) -> Column:
         own = F.substring(d, -10, 10)
-        area, rest = whole_number(F.substring(own, 1, 3)) - 200, whole_number(F.substring(own, 4, 7)) - 2_000_000
+        area, rest = whole_number(F.substring(own, 1, 3)), whole_number(F.substring(own, 4, 7))
         front = F.substring(d, F.lit(1), F.length(d) - 10)
-        new = permute_pair(
-            key, "phone", area, rest, (800, 8_000_000), lambda a, b: F.concat(front, padded(a + 200, 3), padded(b + 2_000_000, 7))
-        )
+        new = permute_pair(key, "phone", area, rest, (1_000, 10_000_000), lambda a, b: F.concat(front, padded(a, 3), padded(b, 7)))
         return refill(m, new)
 
     return let(digits(m), of)
@@ -175,13 +173,13 @@ def ssn(key: str, m: Column) -> Column:
 
 def ipv4(key: str, m: Column) -> Column:
     o = [whole_number(F.get(F.split(m, r"\."), F.lit(k))) for k in range(4)]
-    valid = o[0].between(1, 223) & (o[1] < 256) & (o[2] < 256) & (o[3] < 256) & ~m.rlike(r"(?:^|\.)0\d")
+    valid = (o[0] < 256) & (o[1] < 256) & (o[2] < 256) & (o[3] < 256) & ~m.rlike(r"(?:^|\.)0\d")
 
     def new(a: Column, b: Column) -> Column:
-        parts = (F.floor(a / 256) + 1, a % 256, F.floor(b / 256), b % 256)
+        parts = (F.floor(a / 256), a % 256, F.floor(b / 256), b % 256)
         return F.concat_ws(".", *(p.cast("string") for p in parts))
 
-    return F.when(valid, permute_pair(key, "ipv4", (o[0] - 1) * 256 + o[1], o[2] * 256 + o[3], (223 * 256, 65_536), new))
+    return F.when(valid, permute_pair(key, "ipv4", o[0] * 256 + o[1], o[2] * 256 + o[3], (65_536, 65_536), new))
 
 
 def date(key: str, m: Column) -> Column:
