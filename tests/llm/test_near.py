@@ -58,3 +58,19 @@ def test_no_pair_at_the_threshold_is_missed(spark):
             changed[at] = f"edit{rng.randrange(10**6)}"
         rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(changed))]
     assert found(spark, rows) == {i: i - i % 2 for i, _ in rows}
+
+
+def test_groups_about_the_threshold_against_all_pairs(spark):
+    rng, rows = random.Random(9), []
+    word = lambda: f"w{rng.randrange(10**6)}"
+    for _ in range(8):
+        base = [word() for _ in range(160)]
+        phrase = [word() for _ in range(6)]
+        for part in (0.75, 0.79, 0.8, 0.81, 0.85, 0.9, 0.95) * 2:
+            cut = round(160 * (1 - part) * rng.random())
+            w = base[: 160 - cut] + [word() for _ in range(rng.randint(0, 30))]
+            rows.append((len(rows), " ".join(w + phrase * rng.randint(0, 12))))
+    rows += [(len(rows), ""), (len(rows) + 1, ""), (len(rows) + 2, "two words"), (len(rows) + 3, "Two WORDS")]
+    want = all_pairs(rows)
+    assert 10 < len(set(want.values())) < len(rows)
+    assert found(spark, rows) == want
