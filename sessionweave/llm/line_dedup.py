@@ -8,9 +8,11 @@ Documents come in batches of ascending ids.  A batch's distinct keys (128-bit
 hash, smallest id) are merge-joined with the sorted runs of earlier batches:
 keys found there belong to an earlier document, the rest become a new run
 (anti-join).  When ``fanout`` runs stand on a level they are merged into one of
-the next level, so a key is rewritten a logarithmic number of times.  A
-``LineRuns`` object can take further batches later, as long as their ids are
-larger.
+the next level, so a key is rewritten a logarithmic number of times.  Runs are
+bucketed by key and sorted inside each bucket, so neither the joins nor the
+merges shuffle them.  A ``LineRuns`` object can take further batches later, in
+this application or, with a folder of its own, in another, as long as their ids
+are larger.
 
 Scale: only hashes are shuffled by key, aggregated to one row a key and task
 first; a key that a third of all documents hold is the large side of a join
@@ -38,7 +40,7 @@ from sessionweave.llm.scratch import Scratch
 
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 #: Batches of a run over a whole table.
-BATCHES = 3
+BATCHES = 4
 
 
 def line_key(line: bytes, min_chars: int) -> bytes | None:
@@ -67,50 +69,79 @@ def document_keys(docs: DataFrame, id: str, text: str, min_chars: int) -> DataFr
 
 
 class LineRuns:
-    """Sorted runs ``(h1, h2, owner)`` by level; no key stands in two runs."""
+    """Sorted runs ``(h1, h2, owner)`` by level; no key stands in two runs.
 
-    def __init__(self, scratch: Scratch, fanout: int = 2):
-        self.scratch, self.fanout = scratch, fanout
+    A run is a table of hash buckets, each sorted by key.  Joins of a batch with
+    a run, and merges of two runs, read bucket by bucket in order: nothing of a
+    run is shuffled again.  Below a stated ``where`` the runs outlive the
+    application, and a later one goes on from them.
+    """
+
+    KEYS = ["h1", "h2"]
+
+    def __init__(self, spark: SparkSession, fanout: int = 2, where: str | None = None, id_type: str = "bigint"):
+        self.spark, self.fanout = spark, fanout
+        self.scratch, self.buckets = Scratch(spark, "runs", where), int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[tuple[str, DataFrame]]] = []
-        self.made = 0
+        self.made = self.merges = 0
+        for name in self.scratch.names():
+            _, made, level, buckets = name.split("-")
+            self.buckets, self.made = int(buckets), max(self.made, int(made) + 1)
+            self._stand(int(level), name, self.scratch.open_buckets(name, f"h1 bigint, h2 bigint, owner {id_type}", self.KEYS, self.buckets))
 
-    def _write(self, level: int, rows: DataFrame) -> None:
-        name, self.made = f"run-{self.made}", self.made + 1
+    def _stand(self, level: int, name: str, run: DataFrame) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append((name, self.scratch.save(rows.repartition("h1", "h2").sortWithinPartitions("h1", "h2"), name)))
+        self.levels[level].append((name, run))
+
+    def _write(self, level: int, rows: DataFrame) -> None:
+        name, self.made = f"run-{self.made}-{level}-{self.buckets}", self.made + 1
+        self._stand(level, name, self.scratch.save_buckets(rows, name, self.KEYS, self.buckets))
         if len(self.levels[level]) >= self.fanout:
-            merged, self.levels[level] = self.levels[level], []
-            union = merged[0][1]
-            for _, more in merged[1:]:
-                union = union.unionByName(more)
-            self._write(level + 1, union)
-            self.scratch.drop(*(n for n, _ in merged))
-
-    def add(self, pairs: DataFrame, name: str) -> DataFrame:
+            old, self.levels[level] = self.levels[level], []
+            merged = old[0][1]
+            for _, more in old[1:]:  # keys are disjoint: a full join is a merge
+                b = more.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("owner").alias("b"))
+                merged = merged.join(b.hint("merge"), (F.col("h1") == F.col("b1")) & (F.col("h2") == F.col("b2")), "full_outer").select(
+                    F.coalesce("h1", "b1").alias("h1"), F.coalesce("h2", "b2").alias("h2"), F.coalesce("owner", "b").alias("owner")
+                )
+            self.merges += 1
+            self._write(level + 1, merged)
+            self.scratch.drop(*(n for n, _ in old))
+
+    def known(self, keys: DataFrame) -> DataFrame:
+        """``keys`` with the owner that some run holds, or null: a merge join with each run."""
+        found = keys.withColumn("owner", F.lit(None).cast(keys.schema["low"].dataType))
+        for level in self.levels:
+            for _, run in level:
+                r = run.select(F.col("h1").alias("r1"), F.col("h2").alias("r2"), F.col("owner").alias("r"))
+                found = found.join(r.hint("merge"), (F.col("h1") == F.col("r1")) & (F.col("h2") == F.col("r2")), "left").select(
+                    *keys.columns, F.coalesce("owner", "r").alias("owner")
+                )
+        return found
+
+    def add(self, pairs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         """Take a batch's ``(id, h1, h2)``; returns the ``(id, h1, h2)`` to drop."""
-        keys = pairs.groupBy("h1", "h2").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-        runs = [df for level in self.levels for _, df in level]
-        if runs:
-            union = runs[0]
-            for more in runs[1:]:
-                union = union.unionByName(more)
-            keys = keys.join(union.select(F.col("h1").alias("r1"), F.col("h2").alias("r2"), "owner"), (F.col("h1") == F.col("r1")) & (F.col("h2") == F.col("r2")), "left")
-        else:
-            keys = keys.withColumn("owner", F.lit(None).cast(pairs.schema["id"].dataType))
-        keys = self.scratch.save(keys.select("h1", "h2", "low", "high", "owner"), f"{name}-keys")
+        batch = pairs.groupBy("h1", "h2").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+        keys = scratch.save_buckets(self.known(batch), f"{name}-keys", self.KEYS, self.buckets)
         self._write(0, keys.filter("owner is null").select("h1", "h2", F.col("low").alias("owner")))
         shared = keys.filter("owner is not null or low <> high").select(
             F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.coalesce("owner", "low").alias("keeper")
         )
         lost = pairs.join(shared, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))).filter("id <> keeper")
-        return self.scratch.save(lost.select("id", "h1", "h2"), name)
+        lost = scratch.save(lost.select("id", "h1", "h2"), name)
+        scratch.drop(f"{name}-keys")
+        return lost
 
 
-def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", min_chars: int = 10, batches: int = BATCHES) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", min_chars: int = 10, batches: int = BATCHES, runs: LineRuns | None = None
+) -> DataFrame:
     """All columns of ``docs`` with ``text`` replaced by the kept lines, and ``n_lines, n_dropped`` (long) added.
 
-    Where ``docs`` has columns of these names already, the new ones replace them.
+    Where ``docs`` has columns of these names already, the new ones replace
+    them.  With ``runs``, lines of the documents they were made of count too,
+    all of smaller ids, and the runs take this table's keys.
     """
     spark = docs.sparkSession
     bound_batches(spark)
@@ -119,9 +150,9 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", min_cha
     cuts = docs.agg(F.percentile_approx(column, [k / batches for k in range(1, batches)], 10_000)).first()[0] or []
     keyed = document_keys(docs, id, text, min_chars)
     keyed = scratch.save(keyed.withColumn("batch", number_of(F.col("id"), cuts)), "pairs", ["batch"])
-    runs, lost = LineRuns(scratch), None
+    runs, lost = runs or LineRuns(spark, id_type=docs.schema[id].dataType.simpleString()), None
     for k in range(len(cuts) + 1):
-        part = runs.add(keyed.filter(F.col("batch") == k).select("id", "h1", "h2"), f"batch-{k}")
+        part = runs.add(keyed.filter(F.col("batch") == k).select("id", "h1", "h2"), scratch, f"batch-{k}")
         lost = part if lost is None else lost.unionByName(part)
     gone = lost.groupBy("id").agg(F.collect_set(F.struct("h1", "h2")).alias("gone")).select(
         F.col("id").alias("gone_id"), F.transform("gone", lambda x: x["h1"]).alias("g1"), F.transform("gone", lambda x: x["h2"]).alias("g2")
