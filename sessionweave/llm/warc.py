@@ -1,42 +1,50 @@
 """WARC archives with revisits resolved by payload digest.
 
-Headers alone are shuffled by payload digest; of equal payloads the record
-with the largest id is the response, and the others become revisit records
-that refer to it.  Records then get fresh headers and are written as gzipped
-archives through Spark's own writer, so that any Hadoop store, its commit
-protocol and task retries work as for other tables.
-
-Archives written here are read back by streaming: each record starts with the
-version line and a token field whose value is new for each archive, so no
-payload can hold it, and files of any length are split into records without
-being held in memory.  ``read_warc`` reads foreign archives (plain or gzipped,
-one member a record or one a file) file by file.
+Headers alone (id and SHA-1) are shuffled by payload digest; of equal payloads
+the record with the largest id is the response, and the others become revisit
+records that refer to it.  These decisions, a few bytes a revisit, meet the
+records again by id, which spreads evenly however many share a payload; the
+join broadcasts the decisions if Spark's threshold lets it, and payloads do not
+move at all then.
+
+Archives are ``.warc.gz`` files: a ``warcinfo`` record first, then each record
+as a gzip member of its own with fresh headers.  They are written by Spark's
+text writer, so any Hadoop store, its commit protocol and task retries work as
+for other tables.  That writer ends each row with a separator of at least one
+character: it is NUL, the last byte of a member of less than 16 MB (the high
+byte of its length), and longer records are cut into several members.
+
+``read_warc`` streams such archives, or those of others (plain, or gzipped with
+any members), file by file: a file's compressed bytes and one record are held.
 
 Defined results: a null payload is empty; a null id ranks below all others; of
 rows that repeat the largest id with the same payload each is a response (they
-are the same record); an empty table writes an archive without records.
+are the same record); an empty table writes an archive without records; other
+columns of ``pages`` do not matter, whatever their names.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import uuid
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionweave.llm.arrow import bound_batches
 from sessionweave.llm.scratch import Scratch
 
-HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-TOKEN_FIELD = "X-Archive-Token"
+INFO = b"software: sessionweave\r\nformat: WARC File Format 1.1\r\n"
+#: A gzip member of fewer bytes ends with a NUL.
+MEMBER = 1 << 24
+LEVEL = 5
+DIGITS32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
 def payload_digest(data: bytes) -> str:
@@ -44,83 +52,131 @@ def payload_digest(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-@dataclass(frozen=True)
-class Archive:
-    """Where an archive lies, and the token that starts its records."""
+def base32(hexadecimal: Column) -> Column:
+    """Base32 of a digest of 160 bits in hexadecimal: five digits are four of base 32."""
+    part = lambda k: F.lpad(F.conv(F.substring(hexadecimal, k, 5), 16, 32), 4, "0")
+    return F.translate(F.concat(*(part(k) for k in range(1, 41, 5))), "0123456789ABCDEFGHIJKLMNOPQRSTUV", DIGITS32)
 
-    path: str
-    token: str
 
-    @property
-    def mark(self) -> str:
-        return f"WARC/1.1\r\n{TOKEN_FIELD}: {self.token}\r\n"
+def resolve(records: DataFrame, id: str, payload: str, uri: str | None = None) -> DataFrame:
+    """``(id, uri, raw, digest, revisit, keeper)`` of each record."""
+    base = records.select(
+        F.col(f"`{id}`").cast("long").alias("id"),
+        F.coalesce(F.col(f"`{uri}`").cast("string"), F.lit("")).alias("uri") if uri else F.lit("").alias("uri"),
+        F.coalesce(F.col(f"`{payload}`"), F.lit("")).cast("binary").alias("raw"),
+    )
+    heads = base.select("id", F.sha1("raw").alias("sha"))
+    firsts = heads.groupBy("sha").agg(F.max("id").alias("keeper"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    again = heads.join(firsts, "sha").filter(~F.col("id").eqNullSafe(F.col("keeper")))
+    again = again.select(F.col("id").alias("i"), F.col("sha").alias("s"), "keeper").distinct()
+    full = base.withColumn("sha", F.sha1("raw"))
+    joined = full.join(again, F.col("id").eqNullSafe(F.col("i")) & (F.col("sha") == F.col("s")), "left")
+    return joined.select("id", "uri", "raw", base32(F.col("sha")).alias("digest"), F.col("s").isNotNull().alias("revisit"), "keeper")
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        found = [payload_digest(x or b"") for x in b["raw"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.string())], [*b.schema.names, "digest"])
+def _head(fields: list[tuple[str, str]]) -> bytes:
+    return b"WARC/1.1\r\n" + b"".join(f"{k}: {v}\r\n".encode() for k, v in fields) + b"\r\n"
 
 
-def resolve(records: DataFrame, id: str, payload: str, uri: str | None = None, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
-    """Text of one WARC record a row, in the column ``record`` (without the mark and the last line end)."""
-    bound_batches(records.sparkSession)
-    base = records.select(
-        F.col(f"`{id}`").cast("long").alias("id"),
-        F.coalesce(F.col(f"`{uri}`"), F.lit("")).alias("uri") if uri else F.lit("").alias("uri"),
-        F.coalesce(F.col(f"`{payload}`"), F.lit("")).alias("payload"),
-    )
-    # Headers: id and digest; only payload bytes are read for them.
-    raw = base.select("id", F.col("payload").cast("binary").alias("raw"))
-    heads = raw.mapInArrow(_digests, T.StructType([*raw.schema.fields, T.StructField("digest", T.StringType())]))
-    firsts = heads.groupBy("digest").agg(F.max("id").alias("keeper"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    raw = base.select("id", "uri", F.col("payload").cast("binary").alias("raw"))
-    full = raw.mapInArrow(_digests, T.StructType([*raw.schema.fields, T.StructField("digest", T.StringType())]))
-    joined = full.join(firsts, "digest", "left")
-    revisit = F.col("keeper").isNotNull() & ~F.col("id").eqNullSafe(F.col("keeper"))
-    n = F.octet_length("raw")
-    name = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
-    clean_uri = F.regexp_replace("uri", r"[\x00-\x20\x7f]", "")
-    shared = [
-        F.concat(F.lit("WARC-Record-ID: <urn:record:"), name(F.col("id")), F.lit(">")),
-        F.concat(F.lit("WARC-Target-URI: "), clean_uri),
-        F.concat(F.lit("WARC-Date: "), F.lit(date)),
-        F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest")),
-        F.concat(F.lit("X-Payload-Length: "), n.cast("string")),
-        F.lit("Content-Type: application/http; msgtype=response"),
-    ]
-    end = F.lit("\r\n\r\n")
-    response = F.concat(
-        F.concat_ws("\r\n", F.lit("WARC-Type: response"), *shared, F.concat(F.lit("Content-Length: "), (n + len(HTTP)).cast("string"))),
-        end, F.lit(HTTP), F.col("raw").cast("string"), F.lit("\r\n"),
-    )
-    again = F.concat(
-        F.concat_ws(
-            "\r\n", F.lit("WARC-Type: revisit"), *shared, F.lit(f"WARC-Profile: {PROFILE}"),
-            F.concat(F.lit("WARC-Refers-To: <urn:record:"), name(F.col("keeper")), F.lit(">")), F.lit(f"Content-Length: {len(HTTP)}"),
-        ),
-        end, F.lit(HTTP), F.lit("\r\n"),
-    )
-    return joined.select(F.when(revisit, again).otherwise(response).alias("record"))
+def _members(data: bytes) -> Iterator[bytes]:
+    """Gzip members, each without its last byte, which is a NUL."""
+    for at in range(0, len(data), MEMBER - 1):
+        packer = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
+        yield (packer.compress(data[at : at + MEMBER - 1]) + packer.flush())[:-1]
 
 
-def write_archive(records: DataFrame, path: str) -> Archive:
-    """Write the rows of ``resolve`` as gzipped WARC files below ``path``."""
-    to = Archive(path, uuid.uuid4().hex + uuid.uuid4().hex)
-    records.select(F.concat(F.lit(to.mark), "record").alias("value")).write.option("lineSep", "\r\n").option(
-        "compression", "gzip"
-    ).text(path)
-    return to
+def write_archive(resolved: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z") -> None:
+    """Write the rows of ``resolve`` as ``.warc.gz`` files below ``path``, one a partition."""
+    spark = resolved.sparkSession
+    bound_batches(spark)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened = False
+        for b in batches:
+            if not b.num_rows:
+                continue
+            out = []
+            if not opened:
+                opened = True
+                told = [("WARC-Type", "warcinfo"), ("WARC-Record-ID", "<urn:record:info>"), ("WARC-Date", date)]
+                out += _members(_head([*told, ("Content-Type", "application/warc-fields"), ("Content-Length", str(len(INFO)))]) + INFO + b"\r\n\r\n")
+            for row in b.to_pylist():
+                raw, name = row["raw"], lambda x: "null" if x is None else x
+                fields = [
+                    ("WARC-Type", "revisit" if row["revisit"] else "response"),
+                    ("WARC-Record-ID", f"<urn:record:{name(row['id'])}>"),
+                    ("WARC-Target-URI", "".join(c for c in row["uri"] if c > " " and c != "\x7f")),
+                    ("WARC-Date", date),
+                    ("WARC-Payload-Digest", f"sha1:{row['digest']}"),
+                    ("X-Payload-Length", str(len(raw))),
+                    ("Content-Type", "application/http; msgtype=response"),
+                ]
+                if row["revisit"]:
+                    fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<urn:record:{name(row['keeper'])}>")]
+                block = HTTP if row["revisit"] else HTTP + raw
+                out += _members(_head([*fields, ("Content-Length", str(len(block)))]) + block + b"\r\n\r\n")
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+
+    rows = resolved.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
+    rows.write.option("lineSep", "\0").option("compression", "none").text(path)
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for file in fs.listStatus(where):  # names alone, one a partition
+        name = file.getPath().getName()
+        if name.startswith("part-"):
+            fs.rename(file.getPath(), jvm.org.apache.hadoop.fs.Path(where, name.removesuffix(".txt") + ".warc.gz"))
+
+
+def _plain(data: bytes, step: int = 1 << 16) -> Iterator[bytes]:
+    """The bytes of a plain or gzipped file, by and by."""
+    view = memoryview(data)
+    if data[:2] != b"\x1f\x8b":
+        yield from (bytes(view[at : at + step]) for at in range(0, len(view), step))
+        return
+    member = zlib.decompressobj(31)
+    for at in range(0, len(view), step):
+        rest = bytes(view[at : at + step])
+        while rest:
+            yield member.decompress(rest)
+            rest = member.unused_data
+            if member.eof:
+                member = zlib.decompressobj(31)
 
-def _record(head: bytes, block: bytes, length_known: bool) -> tuple:
-    fields = {}
-    for line in head.split(b"\r\n"):
-        k, _, v = line.partition(b":")
-        fields[k.strip().lower().decode("latin-1")] = v.strip().decode("utf-8", "replace")
-    http, cut, body = block.partition(b"\r\n\r\n")
-    payload = body if cut and http.startswith(b"HTTP/") else block
-    return fields, payload
+
+def split_records(data: bytes) -> Iterator[tuple[dict, bytes]]:
+    """Header fields and block of each record of one WARC file, gzipped or plain."""
+    held, size, fields, need = [], 0, None, 0
+    for part in (*_plain(data), None):
+        if part:
+            held.append(part)
+            size += len(part)
+        if part is not None and size < need:
+            continue
+        buffer = b"".join(held)
+        at = 0
+        while True:
+            if fields is None:
+                low = buffer.find(b"WARC/1.", at)
+                cut = buffer.find(b"\r\n\r\n", low) if low >= 0 else -1
+                if cut < 0:
+                    at = low if low >= 0 else max(at, len(buffer) - 6)
+                    need = 0
+                    break
+                fields = {}
+                for line in buffer[low:cut].split(b"\r\n")[1:]:
+                    k, _, v = line.partition(b":")
+                    fields[k.strip().lower().decode("latin-1")] = v.strip().decode("utf-8", "replace")
+                at = cut + 4
+            n = int(fields["content-length"])
+            if len(buffer) - at < n:
+                need = n
+                break
+            yield fields, buffer[at : at + n]
+            at, fields = at + n, None
+        held, size = [buffer[at:]], len(buffer) - at
+    if fields is not None:
+        raise ValueError(f"record {fields.get('warc-record-id')} is cut off: {fields['content-length']} bytes told")
 
 
 SCHEMA = T.StructType(
@@ -133,79 +189,41 @@ SCHEMA = T.StructType(
 )
 
 
-def _row(fields: dict, payload: bytes) -> tuple:
+def _row(fields: dict, block: bytes) -> tuple:
     bare = lambda k: fields[k].strip("<>") if k in fields else None
-    kind = fields.get("warc-type")
+    http, cut, body = block.partition(b"\r\n\r\n")
+    kind, payload = fields.get("warc-type"), body if cut and http.startswith(b"HTTP/") else block
     told = fields.get("warc-payload-digest", "").partition(":")[2] or None
-    if kind != "revisit":
+    if kind == "revisit":
+        payload = None
+    elif kind in ("response", "resource"):
         real = payload_digest(payload)
         if told and told != real:
             raise ValueError(f"record {bare('warc-record-id')}: digest {told} told, {real} found")
         told = real
-    size = int(fields["x-payload-length"]) if "x-payload-length" in fields else (len(payload) if kind != "revisit" else None)
-    return bare("warc-record-id"), kind, fields.get("warc-target-uri"), told, bare("warc-refers-to"), size, payload if kind != "revisit" else None
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string()] * 5 + [pa.int64(), pa.binary()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], [f.name for f in SCHEMA.fields]
-    )
-
+    size = fields.get("x-payload-length", None if payload is None else len(payload))
+    return bare("warc-record-id"), kind, fields.get("warc-target-uri"), told, bare("warc-refers-to"), None if size is None else int(size), payload
 
-def read_archive(spark: SparkSession, archive: Archive) -> DataFrame:
-    """Records of an archive that ``write_archive`` made; lengths and digests are verified."""
-    bound_batches(spark)
-
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for data in b["value"].to_pylist():
-                head, _, rest = data.partition(b"\r\n\r\n")
-                fields, _ = _record(head, b"", True)
-                n = int(fields["content-length"])
-                if rest[n:] != b"\r\n\r\n":
-                    raise ValueError(f"record {fields.get('warc-record-id')}: {len(rest) - 4} bytes, {n} told")
-                rows.append(_row(*_record(head, rest[:n], True)))
-            yield _batch(rows)
-
-    lines = spark.read.option("lineSep", archive.mark).text(archive.path).filter("value <> ''")
-    return lines.select(F.col("value").cast("binary").alias("value")).mapInArrow(parse, SCHEMA)
 
+def read_warc(spark: SparkSession, path: str, kinds: tuple[str, ...] = ("response", "revisit", "resource")) -> DataFrame:
+    """Records of the given kinds of any WARC files; lengths and payload digests are verified."""
 
-def split_records(data: bytes) -> Iterator[tuple[dict, bytes]]:
-    """Header fields and payload of each record of one WARC file, gzipped or plain."""
-    if data[:2] == b"\x1f\x8b":
-        plain = bytearray()
-        while data:
-            d = zlib.decompressobj(31)
-            plain += d.decompress(data)
-            data = d.unused_data
-        data = bytes(plain)
-    at = 0
-    while (at := data.find(b"WARC/1.", at)) >= 0:
-        cut = data.index(b"\r\n\r\n", at)
-        head = data[data.index(b"\r\n", at) + 2 : cut]
-        fields, _ = _record(head, b"", True)
-        n = int(fields["content-length"])
-        yield _record(head, data[cut + 4 : cut + 4 + n], True)
-        at = cut + 4 + n
-
-
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of any WARC files; each file is held in one task, as gzip members cannot be split."""
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        types = [pa.string()] * 5 + [pa.int64(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], [f.name for f in SCHEMA.fields])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for data in b["content"].to_pylist():
-                rows = []
-                for fields, payload in split_records(data):
-                    rows.append(_row(fields, payload))
-                    if len(rows) == 256:
-                        yield _batch(rows)
-                        rows = []
-                if rows:
-                    yield _batch(rows)
+                rows, size = [], 0
+                for fields, block in split_records(data):
+                    if fields.get("warc-type") in kinds:
+                        rows.append(_row(fields, block))
+                        size += len(block)
+                    if size > 1 << 20 or len(rows) > 1024:
+                        yield batch(rows)
+                        rows, size = [], 0
+                yield batch(rows)
 
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(parse, SCHEMA)
 
@@ -213,10 +231,10 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 def archive_pages(pages: DataFrame, id: str = "page_id", payload: str = "html", uri: str | None = "url", path: str | None = None) -> DataFrame:
     """Write the deduplicated archive of ``pages`` and return what its files hold, a row a record."""
     spark = pages.sparkSession
-    scratch = Scratch(spark, "warc")
-    archive = write_archive(resolve(pages, id, payload, uri), path or scratch.path("archive"))
+    to = path or Scratch(spark, "warc").path("archive")
+    write_archive(resolve(pages, id, payload, uri), to)
     told = lambda c: F.expr(f"try_cast(replace({c}, 'urn:record:', '') as bigint)")
-    return read_archive(spark, archive).select(
+    return read_warc(spark, to).select(
         told("record_id").alias(id),
         F.col("full_bytes").alias("payload_bytes"),
         F.col("digest").alias("payload_digest"),

@@ -284,9 +284,71 @@ def test_warc_round_trip(spark, tmp_path):
         again = sum((x or "") == b for _, _, x in rows) > 1 and top[b] >= 0 and i != top[b]
         want[(i, len(b.encode()), warc.payload_digest(b.encode()), "revisit" if again else "response", top[b] if again else None)] += 1
     assert Counter(map(tuple, warc.archive_pages(pages, path=f"file://{tmp_path}/w").collect())) == want
-    foreign = warc.read_warc(spark, f"file://{tmp_path}/w/*.gz")  # by content lengths alone
-    assert Counter(r.record_type for r in foreign.collect()) == Counter(k[3] for k in want.elements())
+    kept = Counter((r.record_type, r.digest, r.payload) for r in warc.read_warc(spark, f"file://{tmp_path}/w/*.gz").collect())
+    assert kept == Counter((k, d, (b or "").encode() if k == "response" else None) for (_, _, d, k, _), n in want.items() for b in [next(x for _, _, x in rows if warc.payload_digest((x or "").encode()) == d)] for _ in range(n))
     assert warc.archive_pages(pages.limit(0)).count() == 0
+    clash = pages.selectExpr("*", "'a' as raw", "'b' as digest", "'c' as record", "1 as id", "2 as sha", "3 as keeper")
+    assert Counter(map(tuple, warc.archive_pages(clash).collect())) == want
+
+
+def test_warc_files_are_members_of_gzip(spark, tmp_path):
+    import gzip
+    import zlib
+
+    rows = [(k, f"http://a/{k}", "same page" if k % 3 == 0 else f"page {k}") for k in range(30)] + [(99, None, "x" * (17 << 20))]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    warc.write_archive(warc.resolve(pages, "page_id", "html", "url"), f"file://{tmp_path}/w")
+    files = list((tmp_path / "w").glob("*.warc.gz"))
+    assert files and not list((tmp_path / "w").glob("*.txt"))
+    plain, members = b"", 0
+    for f in files:
+        data = f.read_bytes()
+        whole = gzip.decompress(data)
+        assert whole.startswith(b"WARC/1.1\r\nWARC-Type: warcinfo\r\n")
+        plain += whole
+        while data:
+            d = zlib.decompressobj(31)
+            d.decompress(data)
+            assert d.eof
+            data, members = d.unused_data, members + 1
+    assert members == len(rows) + len(files) + 1  # the long record takes two
+    assert plain.count(b"WARC-Type: response") == 22 and plain.count(b"WARC-Type: revisit") == 9
+    for cut in (False, True):
+        foreign = tmp_path / f"plain{cut}.warc"
+        foreign.write_bytes(plain[:-40] if cut else plain)
+        read = warc.read_warc(spark, f"file://{foreign}")
+        if cut:
+            with pytest.raises(Exception, match="cut off"):
+                read.collect()
+        else:
+            assert read.count() == len(rows)
+
+
+def test_payloads_are_not_shuffled_by_digest(spark):
+    pages = spark.createDataFrame([(k, "u", "one body" if k % 3 == 0 else f"b{k}") for k in range(90)], "page_id bigint, url string, html string")
+    plan = warc.resolve(pages, "page_id", "html", "url")._jdf.queryExecution().toString()
+    optimized = plan[plan.index("== Physical Plan ==") :]
+    for line in optimized.splitlines():
+        if "Exchange hashpartitioning(sha" in line:
+            below = optimized[optimized.index(line) :].splitlines()[1:4]
+            assert not any("raw#" in x and "Project" in x and "sha1(raw" not in x for x in below)
+    got = warc.archive_pages(pages)
+    assert got.filter("record_type = 'revisit' and refers_to = 87").count() == 29
+
+
+def test_line_runs_outlive_the_job_and_merge_without_exchange(spark, tmp_path):
+    rows = [(k, f"shared line number {k % 7}\nown line number {k}") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
+    where, got = f"file://{tmp_path}/runs", {}
+    for low in range(0, 40, 10):
+        runs = line_dedup.LineRuns(spark, where=where)  # found again each time
+        got |= {r.doc_id: r.text for r in line_dedup.dedup_lines(docs.filter(f"doc_id between {low} and {low + 9}"), batches=1, runs=runs).collect()}
+    assert got == want
+    assert [len(x) for x in runs.levels] == [0, 0, 1]  # four runs became two, and those one
+    plan = runs.known(spark.createDataFrame([(1, 2, 3)], "h1 bigint, h2 bigint, low bigint"))._jdf.queryExecution().executedPlan().toString()
+    runs_side = plan[plan.index("r1#") :]
+    assert plan.count("SortMergeJoin") == 1 and "Bucketed: true" in runs_side and "Exchange" not in runs_side[runs_side.index("Filter") :]
 
 
 def test_pseudonyms(spark):
