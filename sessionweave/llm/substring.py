@@ -3,29 +3,31 @@
 A word goes if some run of ``window`` consecutive words around it also starts
 at another place, in the same document or in any other.
 
-Streaming every document through automata of all reference shards would cost
-the product of shards and documents.  The same windows are found by first
-giving each shard only what can match in it.  Every window is represented by
-the smallest hash of its ``gram``-word sequences, which equal windows share;
-neighbouring windows with one such anchor form a context.  Contexts meet by
-anchor: those equal as a whole with another repeat in all their windows, and
-anchors that occur once cannot hold a repeated window.  What is left, contexts
-that share an anchor but differ, are the reference shards: one suffix automaton
-an anchor, built over the words of all its contexts, through which they are
-streamed for matching statistics; positions whose matched suffix of ``window``
-words has a second end position are repeated.  Anchors with more than ``shard``
-different contexts (a passage in a third of all documents) would make
-automata grow without bound; their windows are counted by hash instead, which
-is exact too, and spreads over all tasks.
+Suffix automata of reference shards decide this.  Streaming every document
+through the automata of all shards, broadcast one after the other, would cost
+the product of shards and documents; so shards are formed of what can match at
+all, and what is to be streamed is sent to its shard.  Every window is
+represented by the smallest hash of its ``gram``-word sequences, its anchor,
+which equal windows share; neighbouring windows with one anchor form a context.
+Anchors that occur once hold no repeated window.  All other contexts are
+spelled out in words, once each, and those of one anchor are a shard: one
+automaton over them, through which they are streamed for matching statistics;
+windows whose words have a second end position are repeated.
+
+An anchor with more than ``shard`` different contexts (a passage in a third of
+all documents, cut off by other words each time) would make an automaton
+without bound.  Its windows are routed one by one, by the hash of all their
+words instead of the anchor's, to as many small shards, where the same automata
+decide.  Hashes only route: equality is always that of words in an automaton.
+(A context is told by 128 bits of hashes, its anchor's and its own.)
 
 Defined results: a null or empty text has no words; documents shorter than the
 window stay; rows that repeat a document are occurrences like any other; ids
-may be null; an empty table gives an empty result.
+may be null; an empty table gives an empty result; other columns do not matter.
 """
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -132,9 +134,9 @@ class Automaton:
             if self.link[s] > 0:
                 self.ends[self.link[s]] += self.ends[s]
 
-    def repeated(self, words: list, window: int) -> int:
-        """Bit ``k`` is set if the window that starts at word ``k`` ends in two places at least."""
-        out, s, matched = 0, 0, 0
+    def repeated(self, words: list, window: int) -> list[int]:
+        """Starts of the windows that end in two places at least."""
+        out, s, matched = [], 0, 0
         for k, w in enumerate(words):
             while s and w not in self.next[s]:
                 s = self.link[s]
@@ -145,21 +147,30 @@ class Automaton:
                 s = self.link[s]
                 matched = self.length[s]
             if matched >= window and self.ends[s] > 1:
-                out |= 1 << (k - window + 1)
+                out.append(k - window + 1)
         return out
 
 
-def release(spark) -> None:
-    """Let Spark's cleaner remove shuffle files that no step needs any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def stretches(starts: list[int]) -> list[tuple[int, int]]:
+    """Ascending numbers as ``(first, how many)`` of consecutive ones."""
+    out: list[tuple[int, int]] = []
+    for k in starts:
+        if out and out[-1][0] + out[-1][1] == k:
+            out[-1] = (out[-1][0], out[-1][1] + 1)
+        else:
+            out.append((k, 1))
+    return out
 
 
 def dedup_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 35, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
-    """``(id, n_words, n_removed, kept)``; ``kept`` joins the words that stay by single spaces."""
+    """``(id, n_words, n_removed, kept)``; ``kept`` joins the words that stay by single spaces.
+
+    Any ``window`` will do; ``gram`` is cut down to it, ``shard`` bounds the
+    contexts of one automaton.
+    """
     spark = docs.sparkSession
     bound_batches(spark)
-    scratch = Scratch(spark, "passages")
+    scratch, gram = Scratch(spark, "passages"), min(gram, window)
     raw = F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit("").cast("binary"))
     given = docs.select(F.col(f"`{id}`").alias("id"), raw.alias("raw")).withColumn("t1", F.xxhash64("raw")).withColumn("t2", F.hash("raw"))
 
@@ -187,92 +198,82 @@ def dedup_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
     found = scratch.save(given.select("t1", "t2", "raw").mapInArrow(anchors, "t1 bigint, t2 int, low int, n int, key bigint, c bigint"), "contexts")
     again = scratch.save(found.groupBy("key").count().filter("count > 1").select(F.col("key").alias("k")), "again")
     live = scratch.save(found.join(again, F.col("key") == F.col("k")).drop("k"), "live")
-    scratch.drop("contexts")
+    scratch.drop("contexts", "again")
     groups = live.groupBy("key", "c").agg(F.count("*").alias("times"), F.min(F.struct("t1", "t2", "low", "n")).alias("one"))
     groups = scratch.save(groups, "groups")
-    same = groups.filter("times > 1").select(F.col("key").alias("k"), F.col("c").alias("kc"))
-    full = live.join(same, (F.col("key") == F.col("k")) & (F.col("c") == F.col("kc"))).select(
-        "t1", "t2", "low", F.expr("shiftleft(1L, n) - 1").alias("mask")
+    kinds = scratch.save(groups.groupBy("key").count().filter(F.col("count") > shard).select(F.col("key").alias("k")), "large")
+    asks = groups.join(kinds, F.col("key") == F.col("k"), "left").select(
+        "one.*", "key", "c", F.least("times", F.lit(2)).cast("int").alias("weight"), F.col("k").isNotNull().alias("large")
     )
-    mixed = groups.groupBy("key").agg(F.count("*").alias("kinds"), F.count_if(F.col("times") == 1).alias("alone")).filter("alone > 0")
-    mixed = scratch.save(mixed.select(F.col("key").alias("k"), (F.col("kinds") > shard).alias("hot")), "mixed")
-    asks = scratch.save(groups.join(mixed, F.col("key") == F.col("k")).select("one.*", "key", "c", (F.col("times") == 1).alias("alone"), "hot"), "asks")
-    per_text = asks.groupBy("t1", "t2").agg(F.collect_list(F.struct("low", "n", "key", "c", "alone", "hot")).alias("asks"))
-    per_text = scratch.save(per_text.withColumnsRenamed({"t1": "a1", "t2": "a2"}), "asks-by-text")
-    release(spark)
+    per_text = asks.groupBy("t1", "t2").agg(F.collect_list(F.struct("low", "n", "key", "c", "weight", "large")).alias("asks"))
+    per_text = scratch.save(per_text.withColumnsRenamed({"t1": "a1", "t2": "a2"}), "asks")
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for t, asked in zip(raw_texts(b["raw"]), b["asks"].to_pylist(), strict=True):
                 words, rows = t.split(), []
                 for a in asked:
-                    if a["hot"]:
-                        for k in range(a["n"]):
-                            at = a["low"] + k
-                            d = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(words[at : at + window])), np.int64)
-                            rows.append((a["key"], a["c"], a["alone"], None, k, int(d[0]), int(d[1])))
-                    else:
-                        own = b" ".join(words[a["low"] : a["low"] + a["n"] + window - 1])
-                        rows.append((a["key"], a["c"], a["alone"], own, 0, None, None))
-                kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int32(), pa.int64(), pa.int64())
+                    whole = words[a["low"] : a["low"] + a["n"] + window - 1]
+                    if not a["large"]:
+                        rows.append((a["key"], a["c"], a["weight"], None, None, None, b" ".join(whole)))
+                        continue
+                    for k in range(a["n"]):
+                        own = b" ".join(whole[k : k + window])
+                        d = np.frombuffer(xxhash.xxh3_128_digest(own), np.int64)
+                        rows.append((a["key"], a["c"], a["weight"], k, int(d[0]), int(d[1]), own))
+                types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["key", "c", "alone", "words", "k", "w1", "w2"]
+                    [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["key", "c", "weight", "k", "w1", "w2", "words"]
                 )
 
-    of_text = lambda d, x: (F.col("t1") == F.col(d)) & (F.col("t2") == F.col(x))
-    texts = given.select("t1", "t2", "raw").join(per_text, of_text("a1", "a2")).select("raw", "asks")
-    spelled = scratch.save(texts.mapInArrow(spell, "key bigint, c bigint, alone boolean, words binary, k int, w1 bigint, w2 bigint"), "spelled")
-
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_runs(batches, ["key"]):
             edges = runs(t["key"].to_numpy())
-            cs, alone, texts = t["c"].to_pylist(), t["alone"].to_pylist(), t["words"].to_pylist()
-            keys, out = [], []
+            key, cs, weights, texts = t["key"].to_numpy(), t["c"].to_pylist(), t["weight"].to_pylist(), t["words"].to_pylist()
+            out = []
             for a, b in zip(edges[:-1], edges[1:], strict=True):
-                own = {cs[k]: (alone[k], texts[k].split(b" ")) for k in range(a, b)}  # copies of a text spell a context again
-                shard_ = Automaton()
-                for single, words in own.values():
-                    shard_.add(words, 1 if single else 2)
-                shard_.close()
-                for c, (single, words) in own.items():
-                    mask = shard_.repeated(words, window) if single else 0
-                    if mask:
-                        keys.append(t["key"][a].as_py()), out.append((c, mask))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), *(pa.array([o[k] for o in out], pa.int64()) for k in (0, 1))], ["key", "c", "mask"]
-            )
+                own = [x.split(b" ") for x in texts[a:b]]
+                reference = Automaton()
+                for weight, words in zip(weights[a:b], own, strict=True):
+                    reference.add(words, weight)
+                reference.close()
+                for c, words in zip(cs[a:b], own, strict=True):
+                    out += [(key[a], c, low, n) for low, n in stretches(reference.repeated(words, window))]
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(types)], ["key", "c", "from", "count"])
 
-    shards = spelled.filter("words is not null").select("key", "c", "alone", "words").dropDuplicates(["key", "c"])
-    small = shards.repartition("key").sortWithinPartitions("key").mapInArrow(stream, "key bigint, c bigint, mask bigint")
-    windows = spelled.filter("words is null").select("key", "c", "alone", "k", "w1", "w2").distinct()
-    windows = scratch.save(windows, "windows")
-    counts = windows.groupBy("w1", "w2").agg(F.sum(F.when(F.col("alone"), 1).otherwise(2)).alias("times")).filter("times > 1")
-    counts = scratch.save(counts.select(F.col("w1").alias("x1"), F.col("w2").alias("x2")), "counts")
-    large = windows.filter("alone").join(counts, (F.col("w1") == F.col("x1")) & (F.col("w2") == F.col("x2"))).groupBy("key", "c").agg(
-        F.expr("bit_or(shiftleft(1L, k))").alias("mask")
-    )
-    masks = scratch.save(small.unionByName(large).withColumnsRenamed({"key": "k", "c": "kc"}), "masks")
-    part = asks.filter("alone").join(masks, (F.col("key") == F.col("k")) & (F.col("c") == F.col("kc"))).select("t1", "t2", "low", "mask")
-    marks = full.unionByName(part).groupBy("t1", "t2").agg(F.collect_set(F.struct("low", "mask")).alias("marks"))
+    of_text = lambda d, x: (F.col("t1") == F.col(d)) & (F.col("t2") == F.col(x))
+    texts = given.select("t1", "t2", "raw").join(per_text, of_text("a1", "a2")).select("raw", "asks")
+    spelled = texts.mapInArrow(spell, "key bigint, c bigint, weight int, k int, w1 bigint, w2 bigint, words binary")
+    spelled = scratch.save(spelled, "spelled")
+    # Copies of a text spell a context again.
+    contexts_ = spelled.filter("k is null").select("key", "c", "weight", "words").dropDuplicates(["key", "c"])
+    places = scratch.save(spelled.filter("k is not null").select("key", "c", "weight", "k", "w1", "w2").distinct(), "places")
+    windows = spelled.filter("k is not null").groupBy("w1", "w2").agg(F.first("words").alias("words"))
+    held = places.groupBy("w1", "w2").agg(F.least(F.sum("weight"), F.lit(2)).cast("int").alias("weight"))
+    windows = windows.join(held, ["w1", "w2"]).select(F.col("w1").alias("key"), F.col("w2").alias("c"), "weight", "words")
+    decide = lambda shards: shards.repartition("key").sortWithinPartitions("key").mapInArrow(stream, "key bigint, c bigint, from int, count int")
+    small = decide(contexts_)
+    large = decide(windows).select(F.col("key").alias("x1"), F.col("c").alias("x2"))
+    large = places.join(large, (F.col("w1") == F.col("x1")) & (F.col("w2") == F.col("x2"))).select("key", "c", F.col("k").alias("from"), F.lit(1).alias("count"))
+    marks = scratch.save(small.unionByName(large).withColumnsRenamed({"key": "k", "c": "kc"}), "repeated")
+    marks = live.join(marks, (F.col("key") == F.col("k")) & (F.col("c") == F.col("kc"))).select("t1", "t2", (F.col("low") + F.col("from")).alias("low"), "count")
+    marks = marks.groupBy("t1", "t2").agg(F.collect_set(F.struct("low", "count")).alias("marks"))
     marks = scratch.save(
-        marks.select(F.col("t1").alias("a1"), F.col("t2").alias("a2"), F.col("marks.low").alias("low"), F.col("marks.mask").alias("mask")), "marks"
+        marks.select(F.col("t1").alias("a1"), F.col("t2").alias("a2"), F.col("marks.low").alias("low"), F.col("marks.count").alias("count")), "marks"
     )
-    scratch.drop("live", "spelled")
-    release(spark)
+    scratch.drop("live", "groups", "large", "asks", "spelled", "places", "repeated")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             total, gone, kept = [], [], []
-            for t, low, mask in zip(raw_texts(b["raw"]), b["low"], b["mask"], strict=True):
+            for t, low, count in zip(raw_texts(b["raw"]), b["low"], b["count"], strict=True):
                 words = t.split()
                 total.append(len(words))
                 if low.is_valid:
-                    bits = np.unpackbits(mask.values.to_numpy().view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-                    row, k = np.nonzero(bits)
-                    starts = low.values.to_numpy()[row] + k
-                    steps = np.zeros(len(words) + 1, np.int64)
+                    starts, steps = low.values.to_numpy(), np.zeros(len(words) + 1, np.int64)
                     np.add.at(steps, starts, 1)
-                    np.add.at(steps, starts + window, -1)
+                    np.add.at(steps, starts + count.values.to_numpy() + window - 1, -1)
                     stay = np.cumsum(steps)[:-1] == 0
                     words = [words[x] for x in np.flatnonzero(stay)]
                 gone.append(total[-1] - len(words))
@@ -281,7 +282,7 @@ def dedup_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
                 [b["id"], pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], ["id", "n_words", "n_removed", "kept"]
             )
 
-    judged = given.join(marks, of_text("a1", "a2"), "left").select("id", "raw", "low", "mask")
+    judged = given.join(marks, of_text("a1", "a2"), "left").select("id", "raw", "low", "count")
     long = lambda n: T.StructField(n, T.LongType())
     schema = T.StructType([judged.schema["id"], long("n_words"), long("n_removed"), T.StructField("kept", T.StringType())])
     return judged.mapInArrow(remove, schema).withColumnRenamed("id", id)
