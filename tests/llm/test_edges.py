@@ -148,7 +148,7 @@ def test_automaton_counts_end_positions():
             assert a.repeated(s, 4) == want
 
 
-def test_decontamination_against_brute_force(spark):
+def test_decontamination_against_brute_force(spark, monkeypatch):
     import random
 
     rng = random.Random(4)
@@ -164,25 +164,40 @@ def test_decontamination_against_brute_force(spark):
             body[3:3] = [x.upper() + "," for x in item]
         rows.append((k, " ".join(body)))
     rows += [(90, "with three word item inside"), (91, None), (92, ""), (93, items[0][1])]
-    shingles = lambda h, k: Counter(zip(*(h[i:].tolist() for i in range(k))))
-    want = set()
+    rows += [(200, f"before it all {items[3][1]} after that {items[3][1]}"), (200, f"before it all {items[3][1]} after that {items[3][1]}"), (None, items[5][1])]
+    items += [(60, items[2][1]), (61, items[4][1] + " tail"), (62, " ".join(["again and"] * 20))]
+    rows += [(201, "so " + " ".join(["again and"] * 25)), (202, "x " * 5_000 + items[6][1])]
+
+    def similarity(a, b):
+        both = sum((a & b).values())
+        return both / (a.total() + b.total() - both)
+
+    plain = lambda t: re.findall(r"\w+", (t or "").lower())
+    shingles = lambda h, k: Counter(tuple(h[i : i + k]) for i in range(len(h) - k + 1))
+    want, rows_wanted = set(), Counter()
     for i, t in rows:
-        h = decontaminate.words(t)
+        h = plain(t)
         for j, x in items:
-            b = decontaminate.words(x)
-            k = min(5, len(b))
-            if not len(b) or len(h) < k:
+            b = plain(x)
+            k, size = min(5, len(b)), min(len(b), len(h))
+            if not b or len(h) < k:
                 continue
-            size = min(len(b), len(h))
-            if any(decontaminate.similarity(shingles(h[s : s + size], k), shingles(b, k)) >= 0.8 for s in range(len(h) - size + 1)):
+            found = [similarity(shingles(h[s : s + size], k), shingles(b, k)) for s in range(len(h) - size + 1)]
+            if max(found) >= 0.8:
                 want.add((i, j))
+                rows_wanted[(i, j, found.index(max(found)), size, round(max(found), 9))] += 1
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     bench = spark.createDataFrame(items, "item_id bigint, text string")
-    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()} == want
+    got = decontaminate.contaminated(docs, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+    assert Counter((r.doc_id, r.item_id, r.start_word, r.n_words, round(r.similarity, 9)) for r in got) == rows_wanted
     clean = {i for i, _ in rows} - {i for i, _ in want}
     assert {r.doc_id for r in decontaminate.uncontaminated(docs, bench).collect()} == clean
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
     assert decontaminate.uncontaminated(docs, bench.limit(0)).count() == len(rows)
+    monkeypatch.setattr(decontaminate, "PASS_BYTES", 300)  # several passes
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()} == want
+    assert {r.doc_id for r in decontaminate.uncontaminated(docs, bench).collect()} == clean
     odd = fixtures.docs(spark)
     assert decontaminate.uncontaminated(odd, bench).columns == odd.columns
 
