@@ -5,15 +5,19 @@ Equal vectors are compared once, with their number.  The second-moment matrix
 of all unit vectors is summed on the executors (its size depends on the
 dimension alone), and its eigenvectors order the coordinates by how much they
 explain.  Vectors are range-sorted by label and leading coordinate and cut into
-tiles; two tiles meet only if their ranges of the leading coordinate come
-within the largest distance that the threshold allows.  Within a pair of tiles,
-dot products accumulate over leading coordinates; the rest is bounded by the
-product of suffix norms, and pairs drop out as soon as they cannot reach the
-threshold.  Survivors are decided by the full cosine of the unrotated vectors.
+bricks of ``tile`` vectors at most; consecutive bricks of a label form a tile.
+Two tiles meet only if their ranges of the leading coordinate come within the
+largest distance that the threshold allows: a task holds the one and streams
+the bricks of the other.  Within a pair of bricks, dot products accumulate over
+leading coordinates; the rest is bounded by the product of suffix norms, and
+pairs drop out as soon as they cannot reach the threshold.  Survivors are
+decided by the full cosine of the unrotated vectors.
 
-A tile pair yields the number of links of each vector and a spanning forest,
-never all pairs.  A tile holds ``tile`` vectors at most, so a label with a third
-of all rows is many tiles.
+A pair of tiles yields the number of links of each vector and a spanning
+forest, never all pairs.  A label is ``PARTS`` tiles of equal size, so each of
+its vectors is sent to as many tasks at most and a label with a third of all
+rows is spread over ``PARTS ** 2 / 2`` tasks; only where a tile would exceed
+``TILE_BYTES`` are there more.
 
 Defined results: vectors that are null, empty, all zero, or hold a null or a
 non-finite component, and those with a null label, link with nothing and are
@@ -28,8 +32,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sessionweave.llm.arrow import bound_batches, runs
 from sessionweave.llm.components import components
@@ -37,6 +42,8 @@ from sessionweave.llm.scratch import Scratch
 from sessionweave.llm.simhash import spanning
 
 TILE = 1024
+#: Tiles of a label, unless one would hold more bytes than the bound.
+PARTS, TILE_BYTES = 8, 32 << 20
 #: Slack of bounds against rounding; links are decided by the exact cosine.
 SLACK = 1e-9
 
@@ -46,7 +53,11 @@ def units(x: np.ndarray) -> np.ndarray:
 
 
 def moments(distinct: DataFrame) -> dict[int, np.ndarray]:
-    """Eigenvectors, largest eigenvalue first, of the sum of outer products, by dimension."""
+    """Eigenvectors, largest eigenvalue first, of the sum of outer products, by dimension.
+
+    A task sums its vectors to one matrix a dimension; about the square root of
+    all tasks add up those of as many others, and one task the rest.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -56,20 +67,26 @@ def moments(distinct: DataFrame) -> dict[int, np.ndarray]:
                 rows = b["v"].filter(pa.array(dims == dim))
                 x = units(rows.flatten().to_numpy().astype(np.float64).reshape(-1, dim))
                 total[dim] = total.get(dim, 0) + x.T @ x
-        for dim, m in total.items():
-            flat = m.reshape(-1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(flat), dim, np.int32)), pa.array(np.arange(len(flat))), pa.array(flat)], ["dim", "at", "x"]
-            )
+        yield sums(total)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for dim, m in zip(b["dim"].to_pylist(), b["m"].to_pylist(), strict=True):
+                total[dim] = total.get(dim, 0) + np.frombuffer(m, np.float64).reshape(dim, dim)
+        yield sums(total)
+
+    def sums(total: dict[int, np.ndarray]) -> pa.RecordBatch:
+        cells = pa.array([m.tobytes() for m in total.values()], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), cells], ["dim", "m"])
 
-    sums = distinct.select("dim", "v").mapInArrow(run, "dim int, at bigint, x double").groupBy("dim", "at").agg(F.sum("x").alias("x"))
-    table, out = sums.toArrow(), {}
-    for dim in set(table["dim"].to_pylist()):
-        rows = table.filter(pa.compute.equal(table["dim"], dim))
-        m = np.zeros(dim * dim)
-        m[rows["at"].to_numpy()] = rows["x"].to_numpy()
-        out[dim] = np.linalg.eigh(m.reshape(dim, dim))[1][:, ::-1]
-    return out
+    kind, given = "dim int, m binary", distinct.select("dim", "v")
+    few = max(1, round(given.rdd.getNumPartitions() ** 0.5))
+    table = given.mapInArrow(run, kind).repartition(few).mapInArrow(add, kind).repartition(1).mapInArrow(add, kind).toArrow()
+    return {
+        dim: np.linalg.eigh(np.frombuffer(m, np.float64).reshape(dim, dim))[1][:, ::-1]
+        for dim, m in zip(table["dim"].to_pylist(), table["m"].to_pylist(), strict=True)
+    }
 
 
 def close_pairs(a: np.ndarray, b: np.ndarray, turn: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +120,8 @@ def close_pairs(a: np.ndarray, b: np.ndarray, turn: np.ndarray, threshold: float
 
 
 def near_vectors(
-    table: DataFrame, id: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = 0.98, tile: int = TILE
+    table: DataFrame, id: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = 0.98, tile: int = TILE,
+    parts: int = PARTS, tile_bytes: int = TILE_BYTES,
 ) -> DataFrame:
     """``(id, n_links, component_id, kept)`` of each row."""
     spark = table.sparkSession
@@ -135,6 +153,8 @@ def near_vectors(
                 out[at] = x @ shared.value[int(dim)][:, 0]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out)], [*b.schema.names, "y"])
 
+    # Vectors of single precision stay so on their way; they are compared in double precision.
+    real = np.float32 if isinstance(table.schema[vector].dataType, T.ArrayType) and isinstance(table.schema[vector].dataType.elementType, T.FloatType) else np.float64
     wide = distinct.select("label", "dim", "rep", "n", "v")
     sorted_ = wide.mapInArrow(lead, f"{schema_of(wide)}, y double").repartitionByRange("label", "dim", "y").sortWithinPartitions("label", "dim", "y")
 
@@ -151,11 +171,11 @@ def near_vectors(
                         return t.slice(at), out
                     part = t.slice(at, end - at)
                     y = part["y"].to_numpy()
-                    x = part["v"].combine_chunks().flatten().to_numpy().astype(np.float64)
+                    x = part["v"].combine_chunks().flatten().to_numpy().astype(real)
                     out.append(
                         {
                             "label": part["label"][0], "dim": part["dim"][0].as_py(), "lo": y[0], "hi": y[-1],
-                            "reps": part["rep"].to_numpy().tobytes(), "ns": part["n"].to_numpy().tobytes(), "xs": x.tobytes(),
+                            "rows": len(y), "reps": part["rep"].to_numpy().tobytes(), "ns": part["n"].to_numpy().tobytes(), "xs": x.tobytes(),
                         }
                     )
             return None, out
@@ -170,7 +190,7 @@ def near_vectors(
             if not b.num_rows:
                 continue
             if kinds is None:
-                kinds = [("label", b["label"].type), ("dim", pa.int32()), ("lo", pa.float64()), ("hi", pa.float64()), ("reps", pa.binary()), ("ns", pa.binary()), ("xs", pa.binary())]
+                kinds = [("label", b["label"].type), ("dim", pa.int32()), ("lo", pa.float64()), ("hi", pa.float64()), ("rows", pa.int64()), ("reps", pa.binary()), ("ns", pa.binary()), ("xs", pa.binary())]
             t = pa.Table.from_batches([b])
             t = pa.concat_tables([held, t]) if held is not None else t
             out: list[dict] = []
@@ -183,42 +203,63 @@ def near_vectors(
             yield batch(out)
 
     kind = dict(wide.dtypes)["label"]
-    tiles = sorted_.mapInArrow(cut, f"label {kind}, dim int, lo double, hi double, reps binary, ns binary, xs binary")
-    tiles = scratch.save(tiles.withColumn("tile", F.monotonically_increasing_id()), "tiles")
+    bricks = sorted_.mapInArrow(cut, f"label {kind}, dim int, lo double, hi double, rows bigint, reps binary, ns binary, xs binary")
+    bricks = scratch.save(bricks.withColumn("brick", F.monotonically_increasing_id()), "bricks")
+    # A row a brick from here on: consecutive ones make a tile.
+    whole = Window.partitionBy("label", "dim")
+    before = whole.orderBy("lo", "hi", "brick").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.greatest(F.lit(tile), F.least(F.ceil(F.sum("rows").over(whole) / parts), F.floor(F.lit(tile_bytes) / 8 / F.col("dim"))))
+    heads = bricks.select("label", "dim", "lo", "hi", "brick", "rows").withColumn("size", size)
+    heads = heads.withColumn("nth", F.floor(F.coalesce(F.sum("rows").over(before), F.lit(0)) / F.col("size")))
+    heads = scratch.save(heads.drop("size"), "heads")
+    tiles = heads.groupBy("label", "dim", "nth").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("brick").alias("tile"))
+    tiles = scratch.save(tiles, "tiles")
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
-    heads = tiles.select("label", "dim", "lo", "hi", "tile")
-    a, b = heads.alias("a"), heads.alias("b")
+    a, b = tiles.alias("a"), tiles.alias("b")
     pairs = a.join(
         b,
-        (F.col("a.label") == F.col("b.label")) & (F.col("a.dim") == F.col("b.dim")) & (F.col("a.tile") <= F.col("b.tile"))
+        (F.col("a.label") == F.col("b.label")) & (F.col("a.dim") == F.col("b.dim")) & (F.col("a.nth") <= F.col("b.nth"))
         & (F.col("a.lo") <= F.col("b.hi") + reach) & (F.col("b.lo") <= F.col("a.hi") + reach),
-    ).select(F.col("a.tile").alias("ta"), F.col("b.tile").alias("tb"), F.col("a.dim").alias("dim"))
+    ).select(F.col("a.tile").alias("ta"), F.col("b.tile").alias("tb"))
     pairs = scratch.save(pairs, "pairs")
-    side = lambda s: tiles.select(F.col("tile").alias(f"t{s}"), F.col("reps").alias(f"reps{s}"), F.col("ns").alias(f"ns{s}"), F.col("xs").alias(f"xs{s}"))
-    jobs = pairs.join(side("a"), "ta").join(side("b"), "tb")
-    jobs = jobs.repartition(F.col("ta"), F.col("tb"))
+    sides = pairs.select("ta", "tb", F.col("ta").alias("of"), F.lit(0).alias("side")).unionByName(
+        pairs.filter("ta <> tb").select("ta", "tb", F.col("tb").alias("of"), F.lit(1).alias("side"))
+    )
+    member = heads.join(tiles.select("label", "dim", "nth", "tile"), ["label", "dim", "nth"]).select("brick", "tile")
+    jobs = bricks.select("brick", "dim", "reps", "ns", "xs").join(member, "brick").join(sides, F.col("tile") == F.col("of"))
+    jobs = jobs.select("ta", "tb", "side", "dim", "reps", "ns", "xs").repartition("ta", "tb").sortWithinPartitions("ta", "tb", "side")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def brick(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            return (np.frombuffer(row["reps"], np.int64), np.frombuffer(row["ns"], np.int64), np.frombuffer(row["xs"], real).astype(np.float64).reshape(-1, row["dim"]))
+
+        def links(a: tuple, b: tuple, dim: int, same: bool) -> pa.RecordBatch:
+            i, j = close_pairs(a[2], b[2], shared.value[dim], threshold, same)
+            every, jj = (a[0], j) if same else (np.concatenate([a[0], b[0]]), j + len(a[0]))
+            count = np.bincount(i, b[1][j], len(every)) + np.bincount(jj, a[1][i], len(every))
+            ka, kb, _ = spanning(len(every), [(i, jj, np.zeros(len(i), np.int64))])
+            some = count > 0
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([every[some], every[ka]])),
+                    pa.array(np.concatenate([every[some], every[kb]])),
+                    pa.array(np.concatenate([count[some].astype(np.int64), np.zeros(len(ka), np.int64)])),
+                ],
+                ["a", "b", "n"],
+            )
+
+        own, held = None, []
         for batch in batches:
             for row in batch.to_pylist():
-                dim, same = row["dim"], row["ta"] == row["tb"]
-                ra, rb = (np.frombuffer(row[f"reps{s}"], np.int64) for s in "ab")
-                na, nb = (np.frombuffer(row[f"ns{s}"], np.int64) for s in "ab")
-                xa, xb = (np.frombuffer(row[f"xs{s}"], np.float64).reshape(-1, dim) for s in "ab")
-                i, j = close_pairs(xa, xb, shared.value[dim], threshold, same)
-                every = ra if same else np.concatenate([ra, rb])
-                jj = j if same else j + len(ra)
-                count = np.bincount(i, nb[j], len(every)) + np.bincount(jj, na[i], len(every))
-                ka, kb, _ = spanning(len(every), [(i, jj, np.zeros(len(i), np.int64))])
-                some = count > 0
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([every[some], every[ka]])),
-                        pa.array(np.concatenate([every[some], every[kb]])),
-                        pa.array(np.concatenate([count[some].astype(np.int64), np.zeros(len(ka), np.int64)])),
-                    ],
-                    ["a", "b", "n"],
-                )
+                if own != (row["ta"], row["tb"]):
+                    own, held = (row["ta"], row["tb"]), []
+                new, same = brick(row), row["ta"] == row["tb"]
+                for old in held if same or row["side"] else ():
+                    yield links(old, new, row["dim"], False)
+                if row["side"] == 0:
+                    if same:
+                        yield links(new, new, row["dim"], True)
+                    held.append(new)
 
     found = scratch.save(jobs.mapInArrow(compare, "a bigint, b bigint, n bigint"), "found")
     counts = found.filter("a = b").groupBy("a").agg(F.sum("n").alias("others"))

@@ -222,8 +222,12 @@ def test_embeddings_against_brute_force(spark):
         c = min((rows[m][0] for m in group if group[m] == group[k] and rows[m][0] is not None), default=None)
         want[(i, degree[k], c, i == c)] += 1
     table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
-    for tile in (1024, 3):
-        assert Counter(map(tuple, embed_dedup.near_vectors(table, tile=tile).collect())) == want
+    for more in ({}, {"tile": 3}, {"tile": 3, "parts": 2}, {"tile": 2, "tile_bytes": 8 * 12 * 4}):
+        assert Counter(map(tuple, embed_dedup.near_vectors(table, **more).collect())) == want
+    clash = table.selectExpr("*", "1 as id", "2 as v", "3 as rep", "'x' as k1", "4 as tile")
+    assert Counter(map(tuple, embed_dedup.near_vectors(clash).collect())) == want
+    wide = table.selectExpr("vec_id", "cast(embedding as array<double>) as embedding", "label")
+    assert Counter(map(tuple, embed_dedup.near_vectors(wide).collect())) == want
     assert embed_dedup.near_vectors(table.limit(0)).count() == 0
 
 
