@@ -6,7 +6,9 @@ partitions, each packs its own by best-fit decreasing, and dual-feasible
 functions bound from below how many sequences any packing of them needs.
 While the total is above the bound of all pieces together, partitions with a
 gap to their bound exchange the documents of their sequences that are not full,
-which are packed anew; a round that saves nothing is the last.
+which are packed anew.  Rounds go on as long as they save sequences; one that
+saves none is undone and is the last, as are one that meets the bound, one of a
+single partition (nobody is left to exchange with) and the ``rounds``-th.
 
 Scale: a partition holds ``partition_items`` pieces on average, dealt by hash,
 whatever their source; only piece lengths (a histogram of at most ``capacity``
@@ -36,7 +38,7 @@ from sessionweave.llm.tokens import Encoder
 
 #: Vocabulary files are sent to executors up to this size.
 FILE_BYTES = 64 << 20
-ROUNDS = 4
+ROUNDS = 32
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id: str, text: str) -> DataFrame:
@@ -117,12 +119,17 @@ def lower_bound(count: np.ndarray) -> Fraction:
     return best
 
 
-def pack(items: DataFrame, capacity: int, scratch: Scratch, partition_items: int) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to pieces ``(..., length, uid)`` shorter than the capacity."""
+def pack(
+    items: DataFrame, capacity: int, scratch: Scratch, partition_items: int, rounds: int = ROUNDS, report: dict | None = None
+) -> DataFrame:
+    """Add ``sequence_id`` and ``offset`` to pieces ``(..., length, uid)`` shorter than the capacity.
+
+    ``report`` takes the number of sequences, the bound, the rounds and why they ended.
+    """
     names = items.columns
-    settled, pool = None, items
-    total, bound = 0, None
-    for round_ in range(ROUNDS):
+    settled, pool, loose_before, why = None, items, None, "empty"
+    total, bound, before, round_ = 0, None, 0, -1
+    for round_ in range(rounds):
         sizes = np.zeros(capacity + 1, np.int64)
         for n, c in pool.groupBy("length").count().collect():  # one row a length
             sizes[n] = c
@@ -158,29 +165,33 @@ def pack(items: DataFrame, capacity: int, scratch: Scratch, partition_items: int
         )
         done = scratch.save(dealt.mapInArrow(run, schema), f"round-{round_}")
         used = done.filter("offset = 0").count()
-        if round_ == 0:
-            total, before = used, None
-        else:
-            total += used - before
-        again = done.filter("loose") if total > bound and parts > 1 else done.filter("false")
-        last = round_ + 1 == ROUNDS or (round_ > 0 and used >= before) or total <= bound or parts == 1
-        keep = done if last else done.filter("not loose")
-        settled = keep if settled is None else settled.unionByName(keep)
-        if last:
+        if round_ and used >= before:  # nothing saved: the sequences of the round before stay
+            settled, why = settled.unionByName(loose_before), "nothing saved"
+            break
+        total += used - before
+        ends = {"bound met": total <= bound, "one partition": parts == 1, "last round": round_ + 1 == rounds}
+        if any(ends.values()):
+            settled = done if settled is None else settled.unionByName(done)
+            why = next(k for k, v in ends.items() if v)
             break
-        pool, before = again.select(*names), again.filter("offset = 0").count()
+        firm, loose_before = done.filter("not loose"), done.filter("loose")
+        settled = firm if settled is None else settled.unionByName(firm)
+        pool, before = loose_before.select(*names), loose_before.filter("offset = 0").count()
+    if report is not None:
+        report |= {"sequences": total, "bound": bound or 0, "rounds": round_ + 1, "ended": why}
     out = settled if settled is not None else items.withColumn("sequence_id", F.lit(0).cast("long")).withColumn("offset", F.lit(0).cast("long"))
     return out.select(*names, "sequence_id", "offset")
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, id: str = "doc_id", text: str = "text", partition_items: int = 50_000
+    docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, id: str = "doc_id", text: str = "text", partition_items: int = 50_000,
+    rounds: int = ROUNDS, report: dict | None = None,
 ) -> DataFrame:
-    """``(id, piece, start, length, ids_crc32, sequence_id, offset)`` of each piece."""
+    """``(id, piece, start, length, ids_crc32, sequence_id, offset)`` of each piece; ``report`` is of those that are not full."""
     scratch = Scratch(docs.sparkSession, "packing")
     cut = scratch.save(pieces(docs, tokenizer, capacity, end_id, id, text), "pieces").withColumn("uid", F.monotonically_increasing_id())
     full = cut.filter(F.col("length") == capacity).select(
         *cut.columns, (-1 - F.col("uid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
-    packed = pack(cut.filter(F.col("length") < capacity), capacity, scratch, partition_items)
+    packed = pack(cut.filter(F.col("length") < capacity), capacity, scratch, partition_items, rounds, report)
     return full.unionByName(packed).select(F.col("id").alias(id), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -255,6 +255,42 @@ def test_packing_is_gapless_and_bounded(spark):
     assert packing.pack_documents(fixtures.docs(spark, []), path).count() == 0
 
 
+def test_exchange_rounds_approach_the_bound(spark):
+    from sessionweave.llm.scratch import Scratch
+
+    rng = np.random.default_rng(4)
+    lengths = rng.integers(1, 64, 3000).tolist()
+    items = spark.createDataFrame([(k, n) for k, n in enumerate(lengths)], "uid bigint, length bigint")
+    used = {}
+    for rounds in (1, 2, 32):
+        report = {}
+        out = packing.pack(items, 64, Scratch(spark, "test"), 100, rounds, report).toPandas()
+        assert sorted(out.uid) == list(range(3000)) and out.groupby("sequence_id").length.sum().max() <= 64
+        assert out.sequence_id.nunique() == report["sequences"] >= report["bound"] == packing.lower_bound(np.bincount(lengths, minlength=65)).__ceil__()
+        used[rounds] = report["sequences"]
+    assert used[1] >= used[2] >= used[32] and report["ended"] in ("nothing saved", "bound met", "one partition")
+    assert used[32] < used[1] and used[32] - report["bound"] < 0.7 * (used[1] - report["bound"])
+
+
+def test_packing_against_the_best_possible():
+    """Best fit decreasing and the bound around the optimum of small cases, found by trying all."""
+    rng = np.random.default_rng(5)
+
+    def least(left, rooms):
+        if not left:
+            return len(rooms)
+        best = len(rooms) + len(left)
+        for k, r in enumerate(rooms):
+            if r >= left[0] and r not in rooms[:k]:
+                best = min(best, least(left[1:], (*rooms[:k], r - left[0], *rooms[k + 1 :])))
+        return min(best, least(left[1:], (*rooms, 12 - left[0])))
+
+    for _ in range(60):
+        lengths = sorted(rng.integers(1, 12, rng.integers(1, 8)).tolist(), reverse=True)
+        best = least(tuple(lengths), ())
+        assert packing.lower_bound(np.bincount(lengths, minlength=13)) <= best <= len(packing.best_fit(np.array(lengths), 12)[2]) <= best + 1
+
+
 def test_packing_bounds_hold():
     rng = np.random.default_rng(1)
     for _ in range(100):
