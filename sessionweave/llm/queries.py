@@ -17,10 +17,19 @@ URL_RULES = [
     ("example.net", "/de/8", "block"),
     ("org", "/es/", "block"),
 ]
-#: Listed URLs (host with its subdomains, path prefix) that are blocked where no rule fits.
-LISTED_URLS = [
-    (f"{site}.example.{top}", "/") for site in ("ads-track", "spam-farm", "casino-win", "adult-x", "cheap-pills", "free-bets") for top in ("com", "net", "org")
-]
+#: The block list of the query (host with its subdomains, path prefix), where no rule fits: sections of known junk sites.
+#: It is made by rule: every site of the kinds under every top domain and language, with its numbered sections of pages.
+JUNK_SITES = ("ads-track", "spam-farm", "casino-win", "adult-x", "cheap-pills", "free-bets")
+TOP_DOMAINS, LANGUAGES, SECTIONS = ("com", "net", "org"), ("en", "fr", "de", "es"), range(1, 100)
+
+
+def listed_urls(spark: SparkSession) -> DataFrame:
+    """Thousands of canonical URLs: sections 1 to 99 by leading digits of a page number."""
+    each = lambda values: F.explode(F.array(*(F.lit(v) for v in values)))
+    sites = spark.range(1).select(each(JUNK_SITES).alias("site")).withColumn("top", each(TOP_DOMAINS)).withColumn("lang", each(LANGUAGES))
+    return sites.withColumn("n", F.explode(F.sequence(F.lit(SECTIONS.start), F.lit(SECTIONS.stop - 1)))).select(
+        F.format_string("%s.example.%s", "site", "top").alias("host"), F.format_string("/%s/%d", "lang", "n").alias("path")
+    )
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,15 +38,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
-    listed = spark.createDataFrame(LISTED_URLS, "host string, path string")
-    return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules, listed, keep=["page_id"])
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules, listed_urls(spark), keep=["page_id"])
 
 
 def _op1_sql() -> str:
     literal = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
-    listed = ", ".join(f"('{h}', '{p}')" for h, p in LISTED_URLS)
+    column = lambda values: f"unnest([{', '.join(repr(v) for v in values)}])"
     return f"""
-    with rules(h, p, v) as (values {literal}), listed(h, p) as (values {listed}),
+    with rules(h, p, v) as (values {literal}), sites as (select {column(JUNK_SITES)} as site), tops as (select {column(TOP_DOMAINS)} as top),
+    langs as (select {column(LANGUAGES)} as lang),
+    listed as (
+      select site || '.example.' || top as h, '/' || lang || '/' || n as p from sites, tops, langs, range({SECTIONS.start}, {SECTIONS.stop}) r(n)
+    ),
     u as (
       select row_number() over () as k, page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest
       from pages
@@ -51,7 +63,7 @@ def _op1_sql() -> str:
       from c join rules r on (c.host = r.h or ends_with(c.host, '.' || r.h)) and starts_with(c.path, r.p)
       group by k
     ), bad as (
-      select distinct k from c join listed r on (c.host = r.h or ends_with(c.host, '.' || r.h)) and starts_with(c.path, r.p)
+      select distinct k from c join listed r on starts_with(c.path, r.p) and (c.host = r.h or ends_with(c.host, '.' || r.h))
     )
     select page_id, host, path, rule, coalesce(v, case when bad.k is null then 'allow' else 'block' end) as verdict
     from c left join fit using (k) left join bad using (k)

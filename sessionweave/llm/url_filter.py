@@ -9,8 +9,9 @@ positive.  Of the entries that fit, the longest rule decides; where none of
 them is a rule, a listed URL is blocked.
 
 Scale: the filter is built by a distributed aggregation and is broadcast only
-up to ``max_filter_bytes``; longer lists are cut by hash into parts, and every
-part is probed in its turn, so nothing broadcast grows with the list.  The
+up to ``max_filter_bytes``; longer lists are cut by hash into parts, each of
+which is a pass that is saved before the next one is broadcast and the last one
+released, so an executor holds one part whatever the length of the list.  The
 exact join broadcasts the list only below ``broadcast_entries``; beyond it both
 sides are shuffled by key, with the probing side salted, so one host with a
 third of all rows is spread.  URLs without a possible hit are never shuffled.
@@ -27,10 +28,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sessionweave.llm.scratch import Scratch
+
 BITS_PER_ENTRY = 16
 #: Odd multipliers, one for each 32-bit word of a block (as in the Parquet specification of split-block filters).
 SALTS = np.array(
@@ -84,8 +88,8 @@ def build_filter(keys: DataFrame, blocks: int) -> np.ndarray:
     return out
 
 
-def possible_hits(candidates: DataFrame, bits: np.ndarray, part: int, parts: int, spark: SparkSession) -> DataFrame:
-    """Add to ``hits`` those positions of the array ``hashes`` that the filter of this part passes."""
+def possible_hits(candidates: DataFrame, bits: np.ndarray, part: int, parts: int, spark: SparkSession) -> tuple[DataFrame, Broadcast]:
+    """Add to ``hits`` those positions of the array ``hashes`` that the filter of this part passes; also the broadcast filter."""
     shared = spark.sparkContext.broadcast(bits)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,7 +108,7 @@ def possible_hits(candidates: DataFrame, bits: np.ndarray, part: int, parts: int
             yield pa.RecordBatch.from_arrays([*b.columns, found], [*b.schema.names, "found"])
 
     schema = T.StructType([*candidates.schema.fields, T.StructField("found", T.ArrayType(T.IntegerType()))])
-    return candidates.mapInArrow(probe, schema).withColumn("hits", F.concat("hits", "found")).drop("found")
+    return candidates.mapInArrow(probe, schema).withColumn("hits", F.concat("hits", "found")).drop("found"), shared
 
 
 def filter_urls(
@@ -126,6 +130,7 @@ def filter_urls(
     none fits; ties in length go to the longer host.
     """
     spark = pages.sparkSession
+    scratch = Scratch(spark, "urls")
     stated = rules.select("host", "path", "verdict", F.lit(True).alias("stated"))
     if listed_urls is not None:
         stated = stated.unionByName(listed_urls.select("host", "path", F.lit("block").alias("verdict"), F.lit(False).alias("stated")))
@@ -135,6 +140,7 @@ def filter_urls(
         .agg(F.max("stated").alias("stated"), F.min(F.struct(~F.col("stated"), "verdict")).alias("v"))
         .select("host", "path", "stated", F.col("v.verdict").alias("v"), F.xxhash64("host", "path").alias("h"))
     )
+    listed = scratch.save(listed, "listed")
     count, *_ = listed.agg(F.count("*")).first()
     lengths = sorted(r[0] for r in listed.select(F.length("path")).distinct().collect())  # one row a path length
     per_part = max_filter_bytes * 8 // BITS_PER_ENTRY
@@ -161,7 +167,10 @@ def filter_urls(
     ).withColumn("hits", F.array().cast("array<int>"))
     for part in range(parts):
         of_part = listed if parts == 1 else listed.filter(F.expr(f"pmod(h, {parts}) = {part}"))
-        asked = possible_hits(asked, build_filter(of_part, blocks), part, parts, spark)
+        asked, shared = possible_hits(asked, build_filter(of_part, blocks), part, parts, spark)
+        asked = scratch.save(asked, f"asked-{part}")  # probed once, though two branches read it
+        shared.destroy()
+        scratch.drop(f"asked-{part - 1}")
     none = [F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict")]
     missed = asked.filter("size(hits) = 0").select("own.*", "host", "path", *none)
     hit = asked.filter("size(hits) > 0").withColumn("row", F.monotonically_increasing_id()).select(

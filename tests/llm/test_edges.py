@@ -307,9 +307,10 @@ def test_url_filter_ways_agree(spark):
             "http://org/es/", "http://org.uk/es/", "http://spam-farm.example.org/fr/1", "a://b://c/en/", "http://com?en/", "http://com#/en/"] * 3
     pages = spark.createDataFrame([(k, u, "old") for k, u in enumerate(urls)], "page_id bigint, url string, rule string")
     rules = spark.createDataFrame(queries.URL_RULES + [(None, "/", "block"), ("com", "/en/", "block")], "host string, path string, verdict string")
-    listed = spark.createDataFrame(queries.LISTED_URLS, "host string, path string")
+    listed = queries.listed_urls(spark)
+    assert listed.distinct().count() == 6 * 3 * 4 * 99
     one = sorted(url_filter.filter_urls(pages, rules, listed, keep=["page_id"]).collect())
-    other = sorted(url_filter.filter_urls(pages, rules, listed, keep=["page_id"], max_filter_bytes=8, broadcast_entries=0).collect())
+    other = sorted(url_filter.filter_urls(pages, rules, listed, keep=["page_id"], max_filter_bytes=4096, broadcast_entries=0).collect())
     assert one == other and len(one) == len(urls)
     verdict = {urls[r.page_id]: (r.host, r.path, r.rule, r.verdict) for r in one}
     assert verdict["http://A.Example.COM/en/7x?q#f"] == ("a.example.com", "/en/7x", "example.com/en/7", "allow")
