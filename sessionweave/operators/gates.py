@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionweave.functions.text import REDACTIONS, TRAINER_MARKER, UNIX_HOME, WINDOWS_HOME
+from sessionweave.functions.text import PRIVATE_VALUE, SECRET_VALUE, TRAINER_MARKER
 
 #: Gates from best to worst.
 GATES = ("candidate", "review_required", "quarantine", "unassessed")
@@ -28,10 +28,7 @@ def worst_gate(a: Column, b: Column) -> Column:
 def firewall(rows: DataFrame, text: str) -> DataFrame:
     """Add ``findings``: sorted kinds of what must not pass."""
     t = F.coalesce(F.col(text), F.lit(""))
-    secret = F.lit(False)
-    for pattern, _ in REDACTIONS[:7]:
-        secret = secret | t.rlike(pattern)
-    private = t.rlike(REDACTIONS[7][0]) | t.rlike(UNIX_HOME) | t.rlike(WINDOWS_HOME)
+    secret, private = t.rlike(SECRET_VALUE), t.rlike(PRIVATE_VALUE)
     kinds = F.array(F.when(t.rlike(TRAINER_MARKER), F.lit("marker")), F.when(private, F.lit("private_value")), F.when(secret, F.lit("secret_value")))
     return rows.withColumn("findings", F.filter(kinds, lambda k: k.isNotNull()))
 

@@ -37,10 +37,6 @@ def ordered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence.ordinals(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"])
 
 
-#: Providers whose mention tags a text.
-PROVIDERS = {"claude": r"(?i)\bclaude\b", "codex": r"(?i)\bcodex\b", "gemini": r"(?i)\bgemini\b", "the": r"(?i)\bthe\b"}
-
-
 def _families(column: str) -> str:
     cases = " ".join(
         f"when {' or '.join(f'contains(lower({column}), {k!r})' for k in keys)} then '{name}'" for name, keys in text.TASK_FAMILIES.items()
@@ -54,7 +50,7 @@ def _bucket(hex_: str, n: int) -> str:
 
 MSGS = """
     m as (
-      select conv_id, turn, case when lower(trim(role)) in ('user', 'human') then 'user' when lower(trim(role)) in ('assistant', 'ai', 'model') then 'assistant'
+      select conv_id, turn, case when lower(trim(role)) in ('user', 'human') then 'user' when lower(trim(role)) in ('assistant', 'agent', 'model', 'gemini', 'bot') then 'assistant'
              when lower(trim(role)) = 'tool' then 'tool' when lower(trim(role)) in ('system', 'developer') then 'system' end as role, text
       from conversations
     ), k as (select * from m where role is not null),
@@ -136,10 +132,12 @@ def conv_final_answer(spark, sf_dir):
 
 
 @query("select conv_id, turn, array_to_string(list_sort(list_filter(["
-       + ", ".join(f"case when regexp_matches(text, '{p}') then '{n}' end" for n, p in PROVIDERS.items())
-       + "], lambda x: x is not null)), ',') as mentions from conversations")
+       + ", ".join(f"case when regexp_matches(said, '{p}') then '{n}' end" for n, p in text.MENTIONS.items())
+       + "], lambda x: x is not null)), ',') as mentions from (select *, text || case when conv_id % 3 = 0 then ' Claude or Oh My Pi' when turn = 1 then ' chatgpt, Cursor' else '' end as said from conversations)")
 def conv_provider_mentions(spark, sf_dir):
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(text.mentions(F.col("text"), PROVIDERS), ",").alias("mentions"))
+    named = F.when(F.col("conv_id") % 3 == 0, " Claude or Oh My Pi").when(F.col("turn") == 1, " chatgpt, Cursor").otherwise("")
+    said = F.concat("text", named)
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(text.mentions(said, text.MENTIONS), ",").alias("mentions"))
 
 
 @query()
@@ -187,23 +185,30 @@ def doc_keep_first_dedup(spark, sf_dir):
     return selection.keep_first(docs, F.col("key"), ["doc_id"]).select("doc_id", "lang", "source")
 
 
-def _redaction_sql() -> str:
-    body, count = "text", "0"
+#: DuckDB's patterns have no lookbehind: the character before a path is matched, and written again.
+EDGE = ("(?<![A-Za-z0-9])", "(^|[^A-Za-z0-9])")
+
+
+def redacted_sql(body: str) -> tuple[str, str]:
+    """Redacted text of an expression, and the number of replacements."""
+    count = "0"
     for p, r in text.REDACTIONS:
+        to = (chr(92) + "1" if EDGE[0] in p else "") + r.replace("$1", chr(92) + "1")
+        p = p.replace(*EDGE).replace("'", "''")
         count += f" + len(regexp_extract_all({body}, '{p}'))"
-        body = f"regexp_replace({body}, '{p}', '{r.replace('$1', chr(92) + '1')}', 'g')"
-    return f"select doc_id, sha256({body}) as redacted, ({count})::bigint as redactions from documents"
+        body = f"regexp_replace({body}, '{p}', '{to}', 'g')"
+    return body, count
 
 
-@query(_redaction_sql())
-def doc_redaction(spark, sf_dir):
-    clean, n = text.redact(F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", identity.digest(clean).alias("redacted"), n.alias("redactions"))
+_SAID = "text || case when doc_id % 5 = 0 then ' /home/ann/x and C:\\Users\\bob.' when doc_id % 5 = 1 then ' Bearer abcdefghij0123456789 sk-' || repeat('a', 20) else '' end"
 
 
-@query()
-def doc_home_path_redaction(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", identity.digest(text.redact_home_paths(F.col("text"))).alias("redacted"))
+@query("select doc_id, sha256({}) as redacted, ({})::bigint as redactions from (select doc_id, {} as text from documents)".format(*redacted_sql("text"), _SAID))
+def doc_redaction(spark, sf_dir):
+    i = F.col("doc_id") % 5
+    more = F.when(i == 0, " /home/ann/x and C:\\Users\\bob.").when(i == 1, " Bearer abcdefghij0123456789 sk-" + "a" * 20).otherwise("")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat("text", more).alias("text"))
+    return text.redacted(docs, "text", "clean", "redactions").select("doc_id", identity.digest(F.col("clean")).alias("redacted"), "redactions")
 
 
 @query("""select doc_id, sha256(case when length(text) > 1000 then substr(text, 1, 690) || chr(10) || '<TRUNCATED>' || chr(10) || right(text, 297) else text end) as body,
@@ -444,13 +449,10 @@ def seeded_sample(spark, sf_dir):
 
 
 def _firewall_sql() -> str:
-    secret = " or ".join(f"regexp_matches(text, '{p}')" for p, _ in text.REDACTIONS[:7])
-    # Without lookbehind, the character before a path is matched as well.
-    edge = "(^|[^A-Za-z0-9])"
-    unix, windows = (p.replace("(?<![A-Za-z0-9])", edge).replace("'", "''") for p in (text.UNIX_HOME, text.WINDOWS_HOME))
-    private = f"regexp_matches(text, '{text.REDACTIONS[7][0]}') or regexp_matches(text, '{unix}') or regexp_matches(text, '{windows}')"
+    private = text.PRIVATE_VALUE.replace("'", "''")
     return f"""select doc_id, trim(concat(case when regexp_matches(text, '{text.TRAINER_MARKER}') then 'marker,' else '' end,
-      case when {private} then 'private_value,' else '' end, case when {secret} then 'secret_value' else '' end), ',') as findings from documents"""
+      case when regexp_matches(text, '{private}') then 'private_value,' else '' end, case when regexp_matches(text, '{text.SECRET_VALUE}') then 'secret_value' else '' end), ',') as findings
+      from documents"""
 
 
 @query(_firewall_sql())
