@@ -245,7 +245,7 @@ _SESSION = f"""
       select user_id, rec, k, bool_or(event_type = 'click' and tool <> 'sequential_thinking') as asked, bool_or(event_type = 'purchase' and role is not null) as told
       from raw where event_type in ('click', 'purchase') group by all
     ), n as (
-      select user_id, count(distinct rec) as records, count(*) as messages, count(*) filter (role = 'user') as users, count(*) filter (role = 'assistant') as assistants from msg group by all
+      select user_id, (select count(*) from rec r where r.user_id = msg.user_id) as records, count(*) as messages, count(*) filter (role = 'user') as users, count(*) filter (role = 'assistant') as assistants from msg group by all
     ), ends as (
       select user_id, count(*) filter (event_type = 'purchase' and role is not null) as observations,
              count(*) filter (event_type = 'purchase' and (i % 7 = 0 or i % 11 = 0)) as errors from raw group by all

@@ -11,7 +11,7 @@ from sessionweave.sources import jsonl, providers
 def test_messages(spark):
     records = [
         {"messages": [
-            {"role": "human", "content": "hi"}, {"role": "ai", "content": [{"type": "thinking", "text": "no"}, {"type": "text", "text": "a"}, "b"]},
+            {"role": "human", "content": "hi"}, {"role": "agent", "content": [{"type": "thinking", "text": "no"}, {"type": "text", "text": "a"}, "b"]},
             {"role": "assistant", "content": "", "tool_calls": [{"id": "c1", "function": {"name": "run", "arguments": "{\"x\": 1}"}}, {"input": {"y": 2}}]},
             {"role": "tool", "content": "", "tool_call_id": "c1"}, {"role": "robot", "content": "drop"}, {"role": "user", "content": ""}, 7,
         ]},
