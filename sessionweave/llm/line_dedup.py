@@ -125,7 +125,8 @@ class LineRuns:
         batch = pairs.groupBy("h1", "h2").agg(F.min("id").alias("low"), F.max("id").alias("high"))
         keys = scratch.save_buckets(self.known(batch), f"{name}-keys", self.KEYS, self.buckets)
         self._write(0, keys.filter("owner is null").select("h1", "h2", F.col("low").alias("owner")))
-        shared = keys.filter("owner is not null or low <> high").select(
+        # Read without its buckets, so that Spark may split a key that very many documents hold.
+        shared = scratch.read(f"{name}-keys", keys).filter("owner is not null or low <> high").select(
             F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.coalesce("owner", "low").alias("keeper")
         )
         lost = pairs.join(shared, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))).filter("id <> keeper")
