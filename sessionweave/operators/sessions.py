@@ -74,17 +74,17 @@ def prompt_groups(prompts: DataFrame) -> DataFrame:
 
 
 def bounded_context(messages: DataFrame, frame: int = 8, session: str = "conv_id", ordinal: str = "turn") -> DataFrame:
-    """For each assistant message, its frame of the last messages before it.
+    """For each assistant message, the frame of the last messages up to and with it.
 
     If no user message is among them, the latest user message before takes the
     place of the oldest.
     """
     w = Window.partitionBy(session).orderBy(ordinal)
-    before = w.rowsBetween(-frame, -1)
+    before = w.rowsBetween(1 - frame, 0)
     seen = messages.withColumn("n", F.count("*").over(before)).withColumn(
         "n_user", F.count_if(F.col("role") == "user").over(before)
     ).withColumn("low", F.min(ordinal).over(before)).withColumn(
-        "carried", F.max(F.when(F.col("role") == "user", F.col(ordinal))).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        "carried", F.max(F.when(F.col("role") == "user", F.col(ordinal))).over(w.rowsBetween(Window.unboundedPreceding, 0))
     )
     carry = (F.col("n_user") == 0) & F.col("carried").isNotNull()
     return seen.filter("role = 'assistant'").select(

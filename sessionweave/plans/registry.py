@@ -114,8 +114,8 @@ def conv_rl_prompt_groups(spark, sf_dir):
 @query("""
     with b as (
       select conv_id, turn, role, count(*) over w as n, count(*) filter (role = 'user') over w as nu, min(turn) over w as low,
-             max(case when role = 'user' then turn end) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding) as carried
-      from conversations window w as (partition by conv_id order by turn rows between 8 preceding and 1 preceding)
+             max(case when role = 'user' then turn end) over (partition by conv_id order by turn rows between unbounded preceding and current row) as carried
+      from conversations window w as (partition by conv_id order by turn rows between 7 preceding and current row)
     )
     select conv_id, turn, case when nu = 0 and carried is not null then least(n, 7) + 1 else n end as n_context,
            case when nu = 0 and carried is not null then carried else low end as first_turn, nu = 0 and carried is not null as carried_user
@@ -268,10 +268,10 @@ def doc_target_balance(spark, sf_dir):
     return sums.withColumn("cap", selection.effective_cap(F.col("part"), F.col("rest"), 4, 5))
 
 
-@query("""select doc_id, row_number() over (partition by sha256(substr(text, 1, 40)) order by doc_id) > 2 as over from documents""")
-def doc_duplicate_cap(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", identity.digest(F.substring("text", 1, 40)).alias("h"))
-    return selection.over_cap(docs, ["h"], ["doc_id"], 2).select("doc_id", "over")
+@query(f"with {_PROMPTS} select conv_id, row_number() over (partition by prompt_digest order by conv_id) > 2 as over from p")
+def prompt_duplicate_cap(spark, sf_dir):
+    prompts = sessions.latest_prompt(conversations(spark, sf_dir))
+    return selection.over_cap(prompts, ["prompt_digest"], ["conv_id"], 2).select("conv_id", "over")
 
 
 @query("""select doc_id, case when toxic = 1 then 'quarantine' when quality = 0 or n_chars < 200 then 'review_required' when quality is null then 'unassessed' else 'candidate' end as partition_,
