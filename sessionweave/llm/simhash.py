@@ -45,6 +45,8 @@ from sessionweave.llm.scratch import Scratch
 
 PIVOTS = 16
 TILE = 1024
+#: Shingle sets that a task compares at once.
+SET_TILE = 256
 
 
 def shingles(text: bytes, k: int) -> tuple[memoryview, list[int], list[int]]:
@@ -332,7 +334,7 @@ def rare_shingles(given: DataFrame, prints: DataFrame, k: int, similarity: float
     Shingles of one set alone come first and meet nothing.
     """
     total = prints.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
-    buckets = max(64, total >> 20)
+    buckets = max(64, total >> 18)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -394,7 +396,7 @@ def rare_shingles(given: DataFrame, prints: DataFrame, k: int, similarity: float
     return counted.repartition("g").sortWithinPartitions("g", "held", "h").mapInArrow(choose, "g bigint, h bigint")
 
 
-def similar_edges(sets: DataFrame, similarity: float, scratch: Scratch, tile: int = TILE, tile_bytes: int = 1 << 24) -> DataFrame:
+def similar_edges(sets: DataFrame, similarity: float, scratch: Scratch, tile: int = SET_TILE, tile_bytes: int = 1 << 24) -> DataFrame:
     """Spanning edges ``(a, b)`` of all pairs at the threshold among sets ``(c, fp, s)`` with the same ``c``."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
