@@ -1,33 +1,42 @@
 """Toxicity by a subsequence string kernel, a Nyström map and a linear support vector machine.
 
-The kernel counts common subsequences of three letters, gaps included, with
-weight ``DECAY`` to the power of their spread (up to ``SPREAD`` characters),
-normalized by both words' own kernels; so ``id-iot`` or ``i.d.i.o.t`` stay close
-to ``idiot``.  Characters that are not letters count as gaps only; runs of three
-or more single letters are read as one word as well.
-
-Training takes ``train_docs`` labelled documents at most, by hash order of their
-ids, and of them the words that stand in many different contexts of toxic
-documents (copies of a document count once) against words of clean ones, as
-labelled units.  Landmarks of the Nyström map are units of both kinds; a
-squared-hinge machine is trained on the mapped units.  Since the kernel is a
-product of explicit subsequence counts, the machine folds into one weight a
+The kernel of two words counts common subsequences of three letters, gaps
+included, with weight ``DECAY`` to the power of their spread (up to ``SPREAD``
+characters), normalized by both words' own kernels; so ``id-iot`` or
+``i.d.i.o.t`` stay close to ``idiot``.  Characters that are not letters count as
+gaps only; runs of three or more single letters are read as one word as well.
+The kernel of two sentences is the sum over all pairs of their words.
+
+The machine is trained on labelled sentences: those of ``train_docs`` documents
+at most, by hash order of their ids, ``TOXIC`` of toxic and ``CLEAN`` of clean
+ones at most, by hash order of the sentences.  A document's label tells that
+some of its sentences are toxic, not which.  So training goes in rounds: of the
+sentences of toxic documents those stay positive that a machine puts above
+nearly all sentences of clean ones, and the machine is trained again.
+Landmarks of the Nyström map are words: such as stand in many contexts of toxic
+documents and few of clean ones, words over which clean sentences were taken
+for toxic ones, and common words.  They are points of reference alone; what is
+learned are weights of the sentences' subsequences.  As the kernel is a product
+of explicit subsequence counts, the machine folds into one weight a
 subsequence, and a word costs one lookup for each of its subsequences.
 
-A document's score is a logistic function of its largest word decision, and of
-how far its words pass several levels, fitted on the training
-documents.
+A document's score is a logistic function of its largest decision on a word
+(a sentence of that word alone), and of how far its words pass several levels,
+fitted on the training documents.
 
 Defined results: null and empty texts, and texts without a word, score as the
 least toxic document possible; without training rows of both labels every
 score is the share of toxic ones (0 without any); rows that repeat an id are
 scored alike; null ids are scored and not held out; an empty table gives an
-empty result.
+empty result; other columns do not matter, and one named like the score is
+replaced.
 """
 
 from __future__ import annotations
 
 import itertools
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,12 +53,17 @@ DECAY, SPREAD, WIDTH = 0.6, 7, 24
 LETTERS = 64
 #: Labelled documents a classifier is fitted on, at most.
 TRAIN_DOCS = 8_000
-POSITIVE, NEGATIVE, HARD, LANDMARKS = 400, 4_000, 1_500, 240
+#: Sentences it is trained on, at most; landmarks by kind; rounds; share of clean sentences that a positive one must be above; words of a part of a long sentence.
+TOXIC, CLEAN = 30_000, 60_000
+TELLING, MISTAKEN, LANDMARKS = 120, 160, 360
+ROUNDS, ABOVE, LONGEST = 6, 0.9995, 6
 #: Least likelihood ratio statistic of a word that counts as toxic: above what chance gives among 100,000 words.
 SURPRISE = 25.0
 #: Decisions that a document's words are counted above; bounds of its largest decision; weight decay of the logistic fit.
-LEVELS, LEAST, MOST, RIDGE = (-0.3, 0.0, 0.3, 0.6), -0.3, 1.5, 1e-4
+LEVELS, LEAST, MOST, RIDGE = (0.0, 0.7, 1.4, 2.0), 0.0, 3.0, 1e-4
 KEPT_WORDS = 400_000
+#: Where a sentence ends.
+END = re.compile(r"[.!?]+(?=\s|$)|\n+")
 
 
 def codes(words: list[str], width: int) -> np.ndarray:
@@ -147,45 +161,115 @@ class Machine:
         return s if not self.weights.any() else s / 10
 
 
-def kernel(a: list[str], b: list[str]) -> np.ndarray:
-    dense = np.zeros((len(b), LETTERS**3), np.float32)
-    row, sub, value = features(b)
-    dense[row, sub] = value
-    out = np.zeros((len(a), len(b)))
-    row, sub, value = features(a)
-    order = np.argsort(row, kind="stable")
-    row, sub, value = row[order], sub[order], value[order]
-    for r in np.unique(row):
-        s = slice(*np.searchsorted(row, [r, r + 1]))
-        out[r] = dense[:, sub[s]] @ value[s]
-    return out
+def sentences(text: str) -> list[str]:
+    """Sentences with any word; long ones in parts of ``LONGEST`` words."""
+    words = [s.split() for s in END.split(text)]
+    return [" ".join(w[k : k + LONGEST]) for w in words for k in range(0, len(w), LONGEST)]
+
+
+class Sentences:
+    """Sentences as numbers of distinct words, with the words' subsequence weights."""
+
+    def __init__(self, texts: list[str]):
+        split = [units(t) for t in texts]
+        self.words = sorted({w for s in split for w in s})
+        number = {w: k for k, w in enumerate(self.words)}
+        self.size = np.array([len(s) for s in split])
+        self.flat = np.fromiter((number[w] for s in split for w in s), np.int32, int(self.size.sum()))
+        self.start = np.append(0, np.cumsum(self.size))
+        self.number = number
+        parts = [pieces(w) for w in self.words]
+        of = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts])
+        row, sub, value = features([p for x in parts for p in x])
+        row = of[row]
+        order = np.argsort(row, kind="stable")
+        self.sub, self.value = sub[order].astype(np.int32), value[order].astype(np.float32)
+        self.edge = np.searchsorted(row[order], np.arange(len(self.words) + 1))
+
+    def row(self, word: int) -> slice:
+        return slice(self.edge[word], self.edge[word + 1])
+
+    def kernel(self, marks: list[int]) -> np.ndarray:
+        """Kernel of every word with the marked ones."""
+        used = np.unique(np.concatenate([self.sub[self.row(m)] for m in marks]))
+        place = np.full(LETTERS**3, -1, np.int32)
+        place[used] = np.arange(len(used), dtype=np.int32)
+        dense = np.zeros((len(used), len(marks)), np.float32)
+        for k, m in enumerate(marks):
+            np.add.at(dense[:, k], place[self.sub[self.row(m)]], self.value[self.row(m)])
+        out = np.zeros((len(self.words), len(marks)), np.float32)
+        at = place[self.sub]
+        for w in range(len(self.words)):
+            s = self.row(w)
+            known = at[s] >= 0
+            if known.any():
+                out[w] = self.value[s][known] @ dense[at[s][known]]
+        return out
+
+    def sums(self, of_words: np.ndarray) -> np.ndarray:
+        """Sum over the words of each sentence."""
+        out = np.zeros((len(self.size), of_words.shape[1]), np.float32)
+        for low in range(0, len(self.size), 2048):
+            high = min(low + 2048, len(self.size))
+            s = slice(self.start[low], self.start[high])
+            out[low:high] = np.add.reduceat(of_words[self.flat[s]], self.start[low:high] - self.start[low])
+        return out
 
 
-def train(positive: list[str], negative: list[str], hard: list[str] = []) -> Machine:  # noqa: B006
-    """Squared-hinge machine on the Nyström map of the units' kernel with the landmarks."""
-    part = LANDMARKS // (3 if hard else 2)
-    marks = positive[:part] + hard[:part] + negative[:part]
-    negative = hard + negative
-    k = kernel(marks, marks)
-    value, vector = np.linalg.eigh(k)
-    good = value > 1e-6 * value[-1]
-    turn = vector[:, good] / np.sqrt(value[good])
-    x = np.hstack([kernel(positive + negative, marks) @ turn, np.ones((len(positive) + len(negative), 1))])
-    y = np.append(np.ones(len(positive)), -np.ones(len(negative)))
-    cost = np.where(y > 0, 0.5 / len(positive), 0.5 / len(negative)) * len(y)
-    w = np.zeros(x.shape[1])
-    for _ in range(50):  # Newton steps on the support vectors
-        inside = y * (x @ w) < 1
-        c = cost * inside
-        new = np.linalg.solve(np.eye(len(w)) + 2 * (x.T * c) @ x, 2 * x.T @ (c * y))
-        done, w = np.allclose(new, w, atol=1e-9), new
+def hinge(x: np.ndarray, turn: np.ndarray, y: np.ndarray, cost: np.ndarray, start: np.ndarray | None = None) -> tuple[np.ndarray, float, np.ndarray]:
+    """Squared-hinge machine on the mapped rows ``x @ turn``, by Newton steps on its support vectors: weights on ``x``, bias, and both in the mapped space (a start for the next)."""
+    n = turn.shape[1]
+    w = np.zeros(n + 1) if start is None else start
+    for _ in range(40):
+        beta = turn @ w[:n]
+        inside = np.flatnonzero((y * (x @ beta.astype(np.float32) + w[n]) < 1) & (cost > 0))
+        h, g = np.eye(n + 1), np.zeros(n + 1)
+        for part in np.array_split(inside, max(1, len(inside) // 4096)):
+            z = np.hstack([x[part] @ turn.astype(np.float32), np.ones((len(part), 1), np.float32)]).astype(np.float64)
+            h += 2 * (z.T * cost[part]) @ z
+            g += 2 * z.T @ (cost[part] * y[part])
+        new = np.linalg.solve(h, g)
+        done, w = np.allclose(new, w, atol=1e-4), new
         if done:
             break
-    beta = turn @ w[:-1]
+    return turn @ w[:n], float(w[n]), w
+
+
+def train(toxic: list[str], clean: list[str], telling: list[str], common: list[str]) -> Machine:
+    """Machine of the sentences of toxic and of clean documents; ``telling`` and ``common`` words are landmarks, best first."""
+    data = Sentences(toxic + clean)
+    y = np.append(np.ones(len(toxic)), -np.ones(len(clean)))
+    first = [data.number[w] for w in telling if w in data.number][:TELLING]
+    others = [data.number[w] for w in common if w in data.number]
+    positive, mistaken = y > 0, []
+    for _ in range(ROUNDS):
+        hard = [w for w in mistaken if w not in set(first)][:MISTAKEN]
+        taken = {*first, *hard}
+        marks = first + hard + [w for w in others if w not in taken][: LANDMARKS - len(taken)]
+        of_words = data.kernel(marks)
+        own = of_words[marks].astype(np.float64)
+        value, vector = np.linalg.eigh((own + own.T) / 2)
+        good = value > 1e-6 * value[-1]
+        turn, x = vector[:, good] / np.sqrt(value[good]), data.sums(of_words)
+        start = None
+        for _ in range(3):
+            n1, n0 = positive.sum(), len(clean)
+            cost = np.where(y < 0, 0.5 / n0, np.where(positive, 0.5 / n1, 0.0)) * (n1 + n0)
+            beta, bias, start = hinge(x, turn, y, cost, start)
+            decision = x @ beta.astype(np.float32) + bias
+            chosen = (y > 0) & (decision > max(0.0, float(np.quantile(decision[y < 0], ABOVE))))
+            if not chosen.any():
+                break
+            positive = chosen
+        weight, blamed = of_words @ beta.astype(np.float32), Counter()
+        for k in np.flatnonzero((y < 0) & (decision > 0)):
+            s = data.flat[data.start[k] : data.start[k + 1]]
+            blamed[int(s[np.argmax(weight[s])])] += 1
+        mistaken = [w for w, _ in sorted(blamed.items(), key=lambda b: (-b[1], b[0]))]
     weights = np.zeros(LETTERS**3)
-    row, sub, v = features(marks)
-    np.add.at(weights, sub, v * beta[row])
-    return Machine(weights, float(w[-1]))
+    for m, b in zip(marks, beta, strict=True):
+        np.add.at(weights, data.sub[data.row(m)], data.value[data.row(m)] * b)
+    return Machine(weights, bias)
 
 
 def calibrate(machine: Machine, evidence: np.ndarray, toxic: np.ndarray) -> Machine:
@@ -272,24 +356,22 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     part = lambda n, of: F.when(n > 0, n * F.log(n / (pool * of))).otherwise(0.0)
     surprise = 2 * (part(F.col("t"), sums[0]) + part(F.col("c"), sums[1]))
     ranked = words.filter(ratio >= 8).withColumn("surprise", surprise).filter(F.col("surprise") >= SURPRISE)
-    positive = [r[0] for r in ranked.orderBy(F.desc("surprise"), "word").limit(POSITIVE).collect()]
-    common = words.filter((F.col("c") > 0) & (ratio < 2))
-    often = [r[0] for r in common.orderBy(F.desc("c"), "word").limit(NEGATIVE // 4).collect()]
-    rest = [r[0] for r in common.orderBy(F.xxhash64("word"), "word").limit(NEGATIVE).collect()]
-    if not positive or not rest:
-        return none
-    negative = list(dict.fromkeys(x for pair in itertools.zip_longest(often, rest) for x in pair if x is not None))
-    shared = spark.sparkContext.broadcast(train(positive, negative).state())
+    telling = [r[0] for r in ranked.orderBy(F.desc("surprise"), "word").limit(TELLING).collect()]
+    common = words.filter((F.col("c") > 0) & (ratio < 2)).orderBy(F.desc("c"), "word").limit(LANDMARKS)
+    common = [r[0] for r in common.collect()]
 
-    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            f = Machine(*shared.value).decide(b["word"].to_pylist()) if b.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([b["word"], b["c"], pa.array(f)], ["word", "c", "f"])
+            for y, t in zip(b["y"].to_pylist(), b["text"].to_pylist(), strict=True):
+                own = list(dict.fromkeys(sentences(t.lower())))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), y)), pa.array(own, pa.string())], ["y", "sentence"])
 
-    # Words of clean documents that a first machine takes for toxic ones.
-    close = words.filter((F.col("c") > 0) & (ratio < 8)).select("word", "c").mapInArrow(weigh, "word string, c bigint, f double")
-    hard = [r[0] for r in close.filter(f"f > {LEVELS[0]}").orderBy(F.desc("c"), "word").limit(HARD).collect()]
-    machine = train(positive, [w for w in negative if w not in set(hard)], hard)
+    said = scratch.save(texts.select("y", "text").mapInArrow(cut, "y boolean, sentence string").distinct(), "sentences")
+    some = lambda y, n: [r[0] for r in said.filter(F.col("y") == y).orderBy(F.xxhash64("sentence"), "sentence").limit(n).select("sentence").collect()]
+    toxic, clean = some(True, TOXIC), some(False, CLEAN)
+    if not telling or not common or not toxic or not clean:
+        return none
+    machine = train(toxic, clean, telling, common)
     shared = spark.sparkContext.broadcast(machine.state())
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
