@@ -39,7 +39,8 @@ def balanced(rows: DataFrame, category: str, order: list, total: int) -> DataFra
     """Up to each category's share of ``total`` rows."""
     caps = balanced_caps(rows, category, total)
     w = Window.partitionBy(category).orderBy(*order)
-    return rows.withColumn("rank", F.row_number().over(w)).join(caps, category).filter("rank <= cap")
+    few = rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= total)  # no cap is larger: tasks keep as many before the shuffle
+    return few.join(caps, category).filter("rank <= cap")
 
 
 def effective_cap(part: Column, rest: Column, num: int, den: int) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -13,8 +14,11 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def shared(spark: SparkSession) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``; a temporary one where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="stream-")
+    """A fresh folder below ``spark.checkpoint.dir``; where that is unset, a temporary one on a local master alone."""
+    root, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+    if not root and not re.match(r"local(\[[^\]]*\])?$", master):
+        raise ValueError(f"spark.checkpoint.dir is not set, and executors of {master} share no folder with the driver")
+    root = root or "file://" + tempfile.mkdtemp(prefix="stream-")
     return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
