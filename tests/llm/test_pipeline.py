@@ -37,3 +37,29 @@ def test_toxic_documents_go(spark):
     clean = labels.filter("toxic = 0").count()
     assert kept.filter("toxic = 0").count() > 0.9 * clean
     assert kept.filter("toxic = 1").count() < 0.5 * labels.filter("toxic = 1").count()
+
+
+def test_stages_on_awkward_rows(spark):
+    """Nulls, empty texts, repeated rows, clashing columns and empty tables pass every stage as stated."""
+    from pyspark.sql import functions as F
+
+    from tests.llm import fixtures
+
+    scratch = Scratch(spark, "test-awkward")
+    docs = fixtures.docs(spark).drop("id", "raw", "kept", "hits_0")
+    for name in ("n_lines", "n_dropped", "toxicity_score", "gone", "component_id", "score", "fp"):
+        docs = docs.withColumn(name, F.lit(f"mine {name}"))
+    docs = scratch.save(docs, "docs")
+    ids = {r.doc_id for r in docs.select("doc_id").distinct().collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, columns = docs, docs.columns
+        docs = scratch.save(stage(spark, docs, D), name)
+        assert docs.columns == columns, name
+        mine = docs.select("n_lines", "n_dropped", "toxicity_score", "gone", "component_id", "score", "fp").distinct().collect()
+        assert [tuple(r) for r in mine] == [tuple(f"mine {c}" for c in ("n_lines", "n_dropped", "toxicity_score", "gone", "component_id", "score", "fp"))], name
+        assert docs.filter("doc_id is null").count() == before.filter("doc_id is null").count() == 2, name
+        assert stage(spark, before.limit(0), D).count() == 0, name
+    assert None in {r.doc_id for r in docs.collect()} and {r.doc_id for r in docs.collect()} <= ids
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, D)
+    assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in docs.collect()}
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), D).count() == 0
