@@ -60,15 +60,19 @@ def resolve_lanes(rows: DataFrame, parent: str, lane: str, priority: dict[str, i
     return rows.groupBy(parent).agg(F.min_by(lane, F.coalesce(F.try_element_at(rank, F.col(lane)), F.lit(10**6))).alias("lane"), F.countDistinct(lane).alias("lanes"))
 
 
-def within_budget(rows: DataFrame, order: list, size: Column, budget: int, parts: int = 64) -> DataFrame:
+def within_budget(rows: DataFrame, order: list, size: Column, budget: int, bucket: Column) -> DataFrame:
     """The longest prefix in a given order whose sizes sum up to the budget.
 
-    Rows are cut down to those that can stand in the prefix before the running
-    sum: every row has a size of one at least, so no more than ``budget`` do.
+    ``bucket`` rises with the order and takes a few thousand values (the first
+    digits of a hash): sums before each bucket are added to the running sums
+    inside it, so no task sees more than one bucket in order.
     """
-    few = rows.withColumn("__size", size).orderBy(*order).limit(budget)
-    run = F.sum("__size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return few.withColumn("running", run).filter(F.col("running") <= budget).drop("__size")
+    sized = rows.withColumn("__size", size).withColumn("__b", bucket)
+    w = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)  # one row a bucket
+    before = sized.groupBy("__b").agg(F.sum("__size").alias("__s")).withColumn("__before", F.coalesce(F.sum("__s").over(w), F.lit(0)))
+    run = F.sum("__size").over(Window.partitionBy("__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) + F.col("__before")
+    near = sized.join(before.filter(F.col("__before") < budget).select("__b", "__before"), "__b")
+    return near.withColumn("running", run).filter(F.col("running") <= budget).drop("__size", "__b", "__before")
 
 
 def greedy_cover(candidates: DataFrame, parent: str, items: str, limit: int) -> list[tuple]:

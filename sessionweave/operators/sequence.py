@@ -57,32 +57,29 @@ def interval_match(events: DataFrame, episode: str, kind: str, call: str, action
     """
     e = events.select(F.col(episode).alias("ep"), "ordinal", F.col(kind).alias("kind"), F.nullif(F.col(call).cast("string"), F.lit("")).alias("cid"))
     e = e.filter(F.col("kind").isin(action, observation))
-    whole = Window.partitionBy("ep")
+    is_a, is_o, at = F.col("kind") == action, F.col("kind") == observation, F.col("ordinal")
+    whole, same = Window.partitionBy("ep"), Window.partitionBy("ep", "cid")
+    exact = F.col("cid").isNotNull() & (F.count_if(is_a).over(same) == 1) & (F.count_if(is_o).over(same) == 1)
+    e = e.withColumn("exact", exact).withColumn("partner", F.min(F.when(is_o, at)).over(same))
     before = whole.orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1)
     e = (
-        e.withColumn("na", F.count_if(F.col("kind") == action).over(whole))
-        .withColumn("no", F.count_if(F.col("kind") == observation).over(whole))
-        .withColumn("act", F.last(F.when(F.col("kind") == action, F.col("ordinal")), ignorenulls=True).over(before))
-        .withColumn("same", F.count("cid").over(Window.partitionBy("ep", "kind", "cid")))
+        e.withColumn("act", F.last(F.when(is_a, F.struct("ordinal", "cid", "exact")), ignorenulls=True).over(before))
+        .withColumn("na", F.count_if(is_a).over(whole)).withColumn("no", F.count_if(is_o).over(whole))
+        .withColumn("so", F.min(F.when(is_o, at)).over(whole)).withColumn("sc", F.max(F.when(is_o, F.col("cid"))).over(whole))
     )
-    a, o = e.filter(F.col("kind") == action).alias("a"), e.filter(F.col("kind") == observation).alias("o")
-    unlike = F.coalesce(F.col("a.cid") != F.col("o.cid"), F.lit(False))
-    one = a.join(o, (F.col("a.ep") == F.col("o.ep")) & (F.col("a.cid") == F.col("o.cid")) & (F.col("a.same") == 1) & (F.col("o.same") == 1))
-    one = one.select(F.col("a.ep").alias("ep"), F.col("a.ordinal").alias("ai"), F.col("o.ordinal").alias("oi"))
-    two = o.join(a, (F.col("a.ep") == F.col("o.ep")) & (F.col("o.act") == F.col("a.ordinal"))).filter(~unlike)
-    two = two.select(F.col("a.ep").alias("ep"), F.col("a.ordinal").alias("ai"), F.col("o.ordinal").alias("oi"))
-    two = two.join(one.select("ep", "oi"), ["ep", "oi"], "left_anti").join(one.select("ep", "ai"), ["ep", "ai"], "left_anti")
-    two = two.groupBy("ep", "ai").agg(F.min("oi").alias("oi"), F.count("*").alias("n")).filter("n = 1").drop("n")
-    three = a.join(o, F.col("a.ep") == F.col("o.ep")).filter("a.na = 1 and a.no = 1").filter(~unlike)
-    three = three.select(F.col("a.ep").alias("ep"), F.col("a.ordinal").alias("ai"), F.col("o.ordinal").alias("oi"))
-    found = one.withColumn("match", F.lit("1 call-id")).unionByName(two.withColumn("match", F.lit("2 event-order"))).unionByName(
-        three.withColumn("match", F.lit("3 singleton-fallback"))
+    unlike = lambda x, y: F.coalesce(F.col(x) != F.col(y), F.lit(False))
+    fits = is_o & ~F.col("exact") & F.col("act").isNotNull() & ~F.col("act.exact") & ~unlike("act.cid", "cid")
+    # An action and the observations of its interval are one group: no join is needed.
+    slots = e.withColumn("slot", F.when(is_a, at).otherwise(F.col("act.ordinal"))).filter("slot is not null").groupBy("ep", "slot").agg(
+        F.max(F.when(is_a, F.struct("exact", "partner", "na", "no", "so", "sc", "cid"))).alias("a"), F.count_if(fits).alias("n"), F.min(F.when(fits, at)).alias("own")
     )
-    best = found.groupBy("ep", "ai").agg(F.min(F.struct("match", "oi")).alias("best"))
-    return a.select(F.col("a.ep").alias("ep"), F.col("a.ordinal").alias("ai")).join(best, ["ep", "ai"], "left").select(
-        F.col("ep").alias(episode), F.col("ai").alias("ordinal"), F.col("best.oi").alias("observation"),
-        F.coalesce(F.substring("best.match", 3, 99), F.lit("unmatched")).alias("match"),
+    single = (F.col("a.na") == 1) & (F.col("a.no") == 1) & ~unlike("a.cid", "a.sc")
+    found = (
+        F.when(F.col("a.exact"), F.struct(F.col("a.partner").alias("o"), F.lit("call-id").alias("m"))).when(F.col("n") == 1, F.struct(F.col("own").alias("o"), F.lit("event-order").alias("m")))
+        .when(single, F.struct(F.col("a.so").alias("o"), F.lit("singleton-fallback").alias("m")))
     )
+    judged = slots.filter("a is not null").withColumn("f", found)
+    return judged.select(F.col("ep").alias(episode), F.col("slot").alias("ordinal"), F.col("f.o").alias("observation"), F.coalesce("f.m", F.lit("unmatched")).alias("match"))
 
 
 def fifo_pairs(events: DataFrame, key: list[str], kind: str, left: str, right: str) -> DataFrame:

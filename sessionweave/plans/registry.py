@@ -445,7 +445,7 @@ def replay_greedy_cover(spark, sf_dir):
     select doc_id, running::bigint as running from r where running <= 200000""")
 def seeded_sample(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars", identity.digest(F.concat(F.lit("seed:"), F.col("doc_id").cast("string"))).alias("h"))
-    return selection.within_budget(docs, ["h", "doc_id"], F.greatest("n_chars", F.lit(1)), 200_000).select("doc_id", "running")
+    return selection.within_budget(docs, ["h", "doc_id"], F.greatest("n_chars", F.lit(1)), 200_000, F.substring("h", 1, 3)).select("doc_id", "running")
 
 
 def _firewall_sql() -> str:
