@@ -171,20 +171,22 @@ class Sentences:
     """Sentences as numbers of distinct words, with the words' subsequence weights."""
 
     def __init__(self, texts: list[str]):
-        split = [units(t) for t in texts]
-        self.words = sorted({w for s in split for w in s})
-        number = {w: k for k, w in enumerate(self.words)}
-        self.size = np.array([len(s) for s in split])
-        self.flat = np.fromiter((number[w] for s in split for w in s), np.int32, int(self.size.sum()))
+        number: dict[str, int] = {}
+        ids = [[number.setdefault(w, len(number)) for w in units(t)] for t in texts]
+        self.number, self.words = number, list(number)
+        self.size = np.array([len(s) for s in ids])
+        self.flat = np.fromiter((k for s in ids for k in s), np.int32, int(self.size.sum()))
         self.start = np.append(0, np.cumsum(self.size))
-        self.number = number
-        parts = [pieces(w) for w in self.words]
-        of = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts])
-        row, sub, value = features([p for x in parts for p in x])
-        row = of[row]
-        order = np.argsort(row, kind="stable")
-        self.sub, self.value = sub[order].astype(np.int32), value[order].astype(np.float32)
-        self.edge = np.searchsorted(row[order], np.arange(len(self.words) + 1))
+        subs, values, counts = [], [], []
+        for low in range(0, len(self.words), 8192):
+            parts = [pieces(w) for w in self.words[low : low + 8192]]
+            of = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+            row, sub, value = features([p for x in parts for p in x])
+            row = of[row]
+            order = np.argsort(row, kind="stable")
+            subs.append(sub[order].astype(np.int32)), values.append(value[order].astype(np.float32)), counts.append(np.bincount(row, minlength=len(parts)))
+        self.sub, self.value = np.concatenate(subs), np.concatenate(values)
+        self.edge = np.append(0, np.cumsum(np.concatenate(counts)))
 
     def row(self, word: int) -> slice:
         return slice(self.edge[word], self.edge[word + 1])
@@ -206,14 +208,26 @@ class Sentences:
                 out[w] = self.value[s][known] @ dense[at[s][known]]
         return out
 
-    def sums(self, of_words: np.ndarray) -> np.ndarray:
+    def add_up(self, of_words: np.ndarray, out: np.ndarray) -> None:
         """Sum over the words of each sentence."""
-        out = np.zeros((len(self.size), of_words.shape[1]), np.float32)
         for low in range(0, len(self.size), 2048):
             high = min(low + 2048, len(self.size))
             s = slice(self.start[low], self.start[high])
             out[low:high] = np.add.reduceat(of_words[self.flat[s]], self.start[low:high] - self.start[low])
-        return out
+
+    def mapped(self, marks: list[int], step: int = 120) -> tuple[np.ndarray, np.ndarray]:
+        """Kernel of every sentence with the marks, and of the marks with one another; words' own kernels stand for some marks at a time."""
+        x, own = np.zeros((len(self.size), len(marks)), np.float32), np.zeros((len(marks), len(marks)))
+        for low in range(0, len(marks), step):
+            of_words = self.kernel(marks[low : low + step])
+            self.add_up(of_words, x[:, low : low + step])
+            own[:, low : low + step] = of_words[marks]
+        return x, own
+
+    def decisions(self, weights: np.ndarray) -> np.ndarray:
+        """Of each word, by a weight a subsequence."""
+        total = np.append(0.0, np.cumsum(self.value * weights[self.sub]))
+        return total[self.edge[1:]] - total[self.edge[:-1]]
 
 
 def hinge(x: np.ndarray, turn: np.ndarray, y: np.ndarray, cost: np.ndarray, start: np.ndarray | None = None) -> tuple[np.ndarray, float, np.ndarray]:
@@ -246,11 +260,11 @@ def train(toxic: list[str], clean: list[str], telling: list[str], common: list[s
         hard = [w for w in mistaken if w not in set(first)][:MISTAKEN]
         taken = {*first, *hard}
         marks = first + hard + [w for w in others if w not in taken][: LANDMARKS - len(taken)]
-        of_words = data.kernel(marks)
-        own = of_words[marks].astype(np.float64)
+        x = None  # the last round's is given up first
+        x, own = data.mapped(marks)
         value, vector = np.linalg.eigh((own + own.T) / 2)
         good = value > 1e-6 * value[-1]
-        turn, x = vector[:, good] / np.sqrt(value[good]), data.sums(of_words)
+        turn = vector[:, good] / np.sqrt(value[good])
         start = None
         for _ in range(3):
             n1, n0 = positive.sum(), len(clean)
@@ -261,14 +275,14 @@ def train(toxic: list[str], clean: list[str], telling: list[str], common: list[s
             if not chosen.any():
                 break
             positive = chosen
-        weight, blamed = of_words @ beta.astype(np.float32), Counter()
+        weights, blamed = np.zeros(LETTERS**3), Counter()
+        for m, b in zip(marks, beta, strict=True):
+            np.add.at(weights, data.sub[data.row(m)], data.value[data.row(m)] * b)
+        weight = data.decisions(weights)
         for k in np.flatnonzero((y < 0) & (decision > 0)):
             s = data.flat[data.start[k] : data.start[k + 1]]
             blamed[int(s[np.argmax(weight[s])])] += 1
         mistaken = [w for w, _ in sorted(blamed.items(), key=lambda b: (-b[1], b[0]))]
-    weights = np.zeros(LETTERS**3)
-    for m, b in zip(marks, beta, strict=True):
-        np.add.at(weights, data.sub[data.row(m)], data.value[data.row(m)] * b)
     return Machine(weights, bias)
 
 
@@ -341,7 +355,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
         for b in batches:
             for y, t in zip(b["y"].to_pylist(), b["text"].to_pylist(), strict=True):
                 words = units(t)
-                pairs = list(set(zip(words, ["", *words[:-1]], strict=True)))
+                pairs = list(set(zip(words, ["", *words])))  # noqa: B905
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(pairs), y)), *(pa.array([p[k] for p in pairs], pa.string()) for k in (0, 1))], ["y", "word", "before"]
                 )
