@@ -293,7 +293,7 @@ def doc_decision_ledger(spark, sf_dir):
            max(case when k = ceil(0.95 * n) then n_chars end) as p95, max(n_chars) as most from r group by lang""")
 def doc_length_percentiles(spark, sf_dir):
     n = F.expr("n_chars")
-    exact = lambda p: F.expr(f"percentile_disc({p}) within group (order by n_chars)")
+    exact = lambda p: F.expr(f"percentile_disc({p}) within group (order by n_chars)").cast("long")
     return table(spark, sf_dir, "documents").groupBy("lang").agg(
         F.count("*").alias("n"), F.min(n).alias("least"), exact(0.5).alias("p50"), exact(0.95).alias("p95"), F.max(n).alias("most")
     )
