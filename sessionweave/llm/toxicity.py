@@ -34,6 +34,7 @@ replaced.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import re
 from collections import Counter
@@ -74,6 +75,7 @@ def codes(words: list[str], width: int) -> np.ndarray:
     return np.where(ascii_, flat - 96, np.where(other, 27 + flat % 37, 0)).astype(np.int64)
 
 
+@functools.cache
 def places(width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All index triples within the spread, and the spread of each."""
     t = np.array([x for x in itertools.combinations(range(width), 3) if x[2] - x[0] < SPREAD], np.int64).reshape(-1, 3)
@@ -87,7 +89,7 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for low, width in ((0, 6), (6, 9), (9, 13), (13, WIDTH)):
         at = np.flatnonzero((size > low) & (size <= width))
         i, j, k, spread = places(width)
-        for part in np.array_split(at, max(1, len(at) * len(i) // 2_000_000)):
+        for part in np.array_split(at, max(1, len(at) * len(i) // 400_000)):
             if not len(part):
                 continue
             c = codes([words[x] for x in part], width)
@@ -315,16 +317,15 @@ def evidence(machine: Machine, texts: list[str], kept: dict[str, float]) -> np.n
     out = np.zeros((len(texts), len(LEVELS) + 3))
     out[:, -1] = 1
     out[:, 0] = LEAST
-    for k, text in enumerate(texts):
-        words = units(text)
+    split = [units(t) for t in texts]
+    if len(kept) > KEPT_WORDS:
+        kept.clear()
+    new = list({w for words in split for w in words} - kept.keys())
+    for at in range(0, len(new), 2048):  # the words of all texts at once
+        kept.update(zip(new[at : at + 2048], machine.decide(new[at : at + 2048]).tolist(), strict=True))
+    for k, words in enumerate(split):
         if not words:
             continue
-        new = [w for w in set(words) if w not in kept]
-        if new:
-            if len(kept) > KEPT_WORDS:
-                kept.clear()
-                new = list(set(words))
-            kept.update(zip(new, machine.decide(new).tolist(), strict=True))
         high = [f for f in map(kept.__getitem__, words) if f > LEVELS[0]]
         if high:
             out[k, 0] = max(LEAST, min(max(high), MOST))
