@@ -217,7 +217,7 @@ class Sentences:
             s = slice(self.start[low], self.start[high])
             out[low:high] = np.add.reduceat(of_words[self.flat[s]], self.start[low:high] - self.start[low])
 
-    def mapped(self, marks: list[int], step: int = 120) -> tuple[np.ndarray, np.ndarray]:
+    def mapped(self, marks: list[int], step: int = 60) -> tuple[np.ndarray, np.ndarray]:
         """Kernel of every sentence with the marks, and of the marks with one another; words' own kernels stand for some marks at a time."""
         x, own = np.zeros((len(self.size), len(marks)), np.float32), np.zeros((len(marks), len(marks)))
         for low in range(0, len(marks), step):
@@ -382,7 +382,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), y)), pa.array(own, pa.string())], ["y", "sentence"])
 
     said = scratch.save(texts.select("y", "text").mapInArrow(cut, "y boolean, sentence string").distinct(), "sentences")
-    some = lambda y, n: [r[0] for r in said.filter(F.col("y") == y).orderBy(F.xxhash64("sentence"), "sentence").limit(n).select("sentence").collect()]
+    some = lambda y, n: said.filter(F.col("y") == y).orderBy(F.xxhash64("sentence"), "sentence").limit(n).select("sentence").toArrow()["sentence"].to_pylist()
     toxic, clean = some(True, TOXIC), some(False, CLEAN)
     if not telling or not common or not toxic or not clean:
         return none
