@@ -95,7 +95,13 @@ class Index:
         self.lengths = np.unique(length).tolist()
         keys = np.concatenate([np.zeros(0, np.int64), *(self._key(length, b, self._value(self.prints, b)) for b in range(BLOCKS))])
         order = np.argsort(keys, kind="stable")
-        self.keys, self.items = keys[order], np.tile(np.arange(len(bags), dtype=np.int32), BLOCKS)[order]
+        self.items = np.tile(np.arange(len(bags), dtype=np.int32), BLOCKS)[order]
+        self.keys, first = np.unique(keys[order], return_index=True)
+        self.low, self.high = first, np.append(first[1:], len(keys))
+        near = [flips(self.edges[b + 1] - self.edges[b]) for b in range(BLOCKS)]
+        self.near = np.zeros((BLOCKS, max(map(len, near))), np.int64)  # filled up with no flip at all
+        for b, f in enumerate(near):
+            self.near[b, : len(f)] = f
         self.known = np.unique(self.values)
         self.sieve = np.zeros(1 << SIEVE, bool)
         self.sieve[self.known & np.uint64((1 << SIEVE) - 1)] = True
@@ -116,15 +122,15 @@ class Index:
 
     def _candidates(self, prints: np.ndarray, length: int) -> np.ndarray:
         """Pairs (window, item) within the radius."""
-        found = []
-        for b in range(BLOCKS):
-            key = self._key(length, b, self._value(prints, b)[:, None] ^ flips(self.edges[b + 1] - self.edges[b])).reshape(-1)
-            low, high = np.searchsorted(self.keys, key), np.searchsorted(self.keys, key, "right")
-            n = high - low
-            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-            window = np.repeat(np.arange(len(key)) // (len(key) // len(prints)), n)
-            found.append(np.stack([window, self.items[at]], axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0)
+        block = np.arange(BLOCKS)
+        value = np.stack([self._value(prints, b) for b in block], axis=1)
+        key = self._key(length, block[:, None], value[:, :, None] ^ self.near).reshape(-1)
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        hit = np.flatnonzero(self.keys[place] == key)
+        low, n = self.low[place[hit]], self.high[place[hit]] - self.low[place[hit]]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        window = np.repeat(hit // self.near.size, n)
+        pairs = np.unique(np.stack([window, self.items[at]], axis=1), axis=0)
         return pairs[np.bitwise_count(prints[pairs[:, 0]] ^ self.prints[pairs[:, 1]]) <= RADIUS]
 
     def _similarity(self, bag: np.ndarray, item: int) -> float:
