@@ -40,7 +40,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id.  Rows without an id stay."""
+    """One document of each group of near copies, found by their SimHashes: that with the smallest id.  Rows without an id stay."""
     groups = simhash.near_duplicates(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
     gone = Scratch(spark, "copies").save(groups, "gone")
     return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")

@@ -44,6 +44,8 @@ from sessionweave.llm.components import components
 from sessionweave.llm.scratch import Scratch
 
 PIVOTS = 16
+#: Pivots that are members of their block.
+MEMBERS = 4
 TILE = 1024
 #: Shingle sets that a task compares at once.
 SET_TILE = 256
@@ -232,6 +234,11 @@ def near_edges(
             )
 
     keyed = distinct.select("fp").mapInArrow(keys, "c smallint, part bigint, fp binary, d0 smallint")
+    return tiled_blocks(keyed, scratch, tile).mapInArrow(compare, "a binary, b binary, d int")
+
+
+def tiled_blocks(keyed: DataFrame, scratch: Scratch, tile: int) -> DataFrame:
+    """Rows ``(c, part, fp, d0)`` as runs ``(c, part, i, j)`` sorted by ``d0``: a block, or two tiles of one with over ``tile`` rows."""
     big = keyed.groupBy("c", "part").count().filter(F.col("count") > tile)
     big = scratch.save(big.select("c", "part", F.ceil(F.col("count") / tile).cast("int").alias("cuts")), "big")
     joined = keyed.join(big, ["c", "part"], "left") if not big.isEmpty() else keyed.withColumn("cuts", F.lit(None).cast("int"))
@@ -240,8 +247,7 @@ def near_edges(
     tiled = joined.withColumn("own", own).withColumn("other", F.explode(others)).select(
         "c", "part", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp", "d0"
     )
-    tiled = tiled.repartition("c", "part", "i", "j").sortWithinPartitions("c", "part", "i", "j", "d0")
-    return tiled.mapInArrow(compare, "a binary, b binary, d int")
+    return tiled.repartition("c", "part", "i", "j").sortWithinPartitions("c", "part", "i", "j", "d0")
 
 
 def group_documents(prints: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -278,34 +284,142 @@ def near_components(docs: DataFrame, id: str = "doc_id", text: str = "text", k:
     )
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``(id, component_id)`` of rows with an id: texts chained by a Jaccard similarity of their shingles at or above the threshold.
+def reach(similarity: float, bits: int, missed: float = 1e-9) -> int:
+    """A Hamming distance that fingerprints of two sets at the threshold exceed with a chance below ``missed``.
 
-    Exact, up to equal 64-bit hashes of different shingles: texts are equal if
-    their whole shingle sets are (by a hash of 128 bits), and of two different
-    sets at the threshold the rarest shingles, down to the overlap that the
-    threshold demands, have one in common.  What such shingles connect is
-    compared pair by pair, tile by tile, and only true links make groups.
+    Bits are independent.  The chance that one differs is counted for all pairs
+    of small sets at the threshold (with up to 64 common members) and is at its
+    highest there; it falls to ``acos(2 s / (1 + s)) / pi`` for large ones.
+    """
+
+    def share(n: int) -> np.ndarray:
+        return np.array([math.comb(n, k) for k in range(n + 1)], float) / 2.0**n
+
+    def differs(common: int, a: int, b: int) -> float:
+        c = np.arange(common + 1)[:, None]
+        x, y = (((2 * (c + np.arange(m + 1)) > common + m) * share(m)).sum(1) for m in (a, b))
+        return float((share(common) * (x * (1 - y) + y * (1 - x))).sum())
+
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    for common in range(1, 65):
+        most = min(64, math.floor(common * (1 / similarity - 1) + 1e-9))
+        p = max([p, *(differs(common, a, b) for a in range(most + 1) for b in range(min(a, most - a) + 1))])
+    distance, beyond = bits, 0.0
+    while distance > 0:
+        beyond += math.comb(bits, distance) * p**distance * (1 - p) ** (bits - distance)
+        if beyond > missed:
+            break
+        distance -= 1
+    return distance
+
+
+def member_table(fp: np.ndarray, starts: np.ndarray, pivots: int) -> np.ndarray:
+    """Hamming distances of each row to ``pivots`` members of its own run."""
+    size = np.diff(starts)
+    at = [np.repeat(starts[:-1] + (2 * k + 1) * size // (2 * pivots), size) for k in range(pivots)]
+    return np.stack([np.bitwise_count(fp ^ fp[x]).sum(1, dtype=np.int16) for x in at], axis=1)
+
+
+def print_nodes(fp: np.ndarray) -> np.ndarray:
+    """64 bits that stand for each fingerprint."""
+    value = np.zeros(len(fp), np.uint64)
+    for k in range(fp.shape[1]):
+        value = _mix(value ^ fp[:, k], 1)
+    return value.view(np.int64)
+
+
+def print_edges(keyed: DataFrame, words: int, radius: int, scratch: Scratch, tile: int = TILE, pivots: int = MEMBERS) -> DataFrame:
+    """Spanning edges ``(a, b)`` of all links inside blocks ``(c, part)``, between the nodes of fingerprints.
+
+    At a wide radius distances to random pivots discard nothing.  Here the
+    pivots are members of the block: what is near one cannot be near what is
+    far from it.  A block that lies within the radius of its first pivot is
+    one group, and costs one comparison a member.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_runs(batches, ["c", "part", "i", "j"]):
+            starts = runs(*(t[k].to_numpy() for k in ("c", "part", "i", "j")))
+            size = np.diff(starts)
+            fp = np.frombuffer(b"".join(t["fp"].to_pylist()), np.uint64).reshape(-1, words)[np.repeat(size > 1, size)]
+            size = size[size > 1]
+            if not len(size):
+                continue
+            starts = np.append(0, np.cumsum(size))
+            table = member_table(fp, starts, pivots)
+            order = np.lexsort((table[:, 0], np.repeat(np.arange(len(size)), size)))
+            fp, table = fp[order], table[order]
+            pivot, near = np.repeat(starts[:-1], size), table[:, 0] <= radius  # the pivot is now the first of its run
+            star = np.flatnonzero(near & (np.arange(len(fp)) != pivot))
+            found, many = [(pivot[star], star, table[star, 0])], len(star)
+            whole = np.repeat(np.logical_and.reduceat(near, starts[:-1]), size)
+            for x in links(fp, np.where(whole, 0, np.repeat(starts[1:], size)), table, radius):
+                found.append(x)
+                many += len(x[0])
+                if many > 1 << 21:
+                    found = [spanning(len(fp), found)]
+                    many = len(found[0][0])
+            a, b, _ = spanning(len(fp), found)
+            node = print_nodes(fp)
+            yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], ["a", "b"])
+
+    return tiled_blocks(keyed, scratch, tile).mapInArrow(compare, "a bigint, b bigint")
+
+
+def near_prints(given: DataFrame, k: int, similarity: float, words: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(id, key, g, n, node, fp)`` of each row, the same of each set with its lowest id, and groups ``(node, root)`` of near fingerprints, roots excluded.
+
+    ``key`` and ``g`` are hashes of the set of shingles, ``fp`` is its SimHash
+    and ``node`` a hash of that.  Fingerprints are compared inside
+    blocks of an equal rare shingle, which any two sets at the threshold share.
     """
-    scratch = Scratch(docs.sparkSession, "near")
-    bound_batches(docs.sparkSession)
-    given = docs.filter(F.col(f"`{id}`").isNotNull()).select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("binary").alias("raw"))
 
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [np.unique(shingle_hashes(t, k)) for t in raw_texts(b["raw"])]
             keys = [xxhash.xxh3_128_digest(x.tobytes()) for x in found]
-            columns = [b["id"], pa.array(keys, pa.binary()), pa.array([_short(x) for x in keys], pa.int64()), pa.array([len(x) for x in found], pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "fp", "short", "n"])
-
-    schema = T.StructType([given.schema["id"], *T.StructType.fromDDL("fp binary, short bigint, n int")])
+            fps = [fingerprint(x, words) for x in found]
+            nodes = print_nodes(np.frombuffer(b"".join(fps), np.uint64).reshape(-1, words))
+            columns = [
+                b["id"], pa.array(keys, pa.binary()), pa.array([_short(x) for x in keys], pa.int64()), pa.array([len(x) for x in found], pa.int32()),
+                pa.array(nodes), pa.array(fps, pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "key", "g", "n", "node", "fp"])
+
+    schema = T.StructType([given.schema["id"], *T.StructType.fromDDL("key binary, g bigint, n int, node bigint, fp binary")])
     prints = scratch.save(given.mapInArrow(sized, schema), "prints")
-    near = scratch.save(rare_shingles(given, prints, k, similarity), "rare")
-    # Texts and shingles as nodes: one chance equality of both would only add comparisons.
-    stars = scratch.save(components(near.select(F.col("g").alias("a"), F.col("h").alias("b")), scratch, "candidates"), "candidates")
-    placed = near.select("g").distinct().join(stars, F.col("g") == F.col("node"), "left").select("g", F.coalesce("root", "g").alias("c"))
-    lowest = prints.groupBy("fp", "short").agg(F.min("id").alias("low"))
-    wanted = scratch.save(placed.join(lowest, F.col("g") == F.col("short")).select("fp", "low", "c"), "wanted")
+    rare = scratch.save(rare_shingles(given, prints, k, similarity), "rare")
+    lowest = scratch.save(prints.groupBy("key", "g", "node", "fp").agg(F.min("id").alias("low")), "lowest")
+    keyed = rare.join(lowest.select(F.col("g").alias("of"), "fp"), F.col("g") == F.col("of"))
+    keyed = scratch.save(keyed.select(F.expr("0s as c"), F.col("h").alias("part"), "fp", F.expr("0s as d0")), "blocks")
+    edges = print_edges(keyed, words, reach(similarity, 64 * words), scratch)
+    return prints, lowest, scratch.save(components(edges, scratch, "candidates"), "candidates")
+
+
+def near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8, words: int = 8
+) -> DataFrame:
+    """``(id, component_id)`` of rows with an id: texts chained by a Jaccard similarity of their shingles at or above the threshold.
+
+    Texts are equal if their whole shingle sets are (by a hash of 128 bits).
+    Each set has a SimHash of ``64 * words`` bits.  Fingerprints within the
+    radius that sets at the threshold keep to are found with pivot distance
+    tables, in blocks of an equal rare shingle; sets are compared only where
+    fingerprints chain them (or are equal), pair by pair, tile by tile, and
+    only true links make groups.  So fingerprints find and the sets decide.
+
+    Exact, up to equal 64-bit hashes of different shingles and a chance below
+    1e-9 that fingerprints of a pair at the threshold lie beyond the radius.
+    """
+    scratch = Scratch(docs.sparkSession, "near")
+    bound_batches(docs.sparkSession)
+    given = docs.filter(F.col(f"`{id}`").isNotNull()).select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("binary").alias("raw"))
+    prints, lowest, stars = near_prints(given, k, similarity, words, scratch)
+    lowest = lowest.select(F.col("key").alias("fp"), F.col("node").alias("of"), "low")
+    placed = stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())
+    equal = lowest.groupBy("of").count().filter("count > 1").select(F.col("of").alias("node"))
+    nodes = placed.unionByName(equal.join(placed, "node", "left_anti").withColumn("root", F.col("node")))
+    wanted = scratch.save(nodes.join(lowest, F.col("node") == F.col("of")).select("fp", "low", F.col("root").alias("c")), "wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -317,7 +431,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", k:
     shingled = texts.mapInArrow(sets, "f binary, s binary").dropDuplicates(["f"])
     shingled = scratch.save(shingled.join(wanted, F.col("f") == F.col("fp")).select("c", "fp", "s"), "sets")
     edges = scratch.save(similar_edges(shingled, similarity, scratch), "edges")
-    return group_documents(prints.select("id", "fp"), edges, scratch).select(F.col("id").alias(id), "component_id")
+    return group_documents(prints.select("id", F.col("key").alias("fp")), edges, scratch).select(F.col("id").alias(id), "component_id")
 
 
 def _short(key: bytes) -> int:
